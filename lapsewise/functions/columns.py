@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from . import constants as K
 
+# integers wide enough for money in cents times 10^scale at any table size
+EXACT = "decimal(38,0)"
+
 
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -38,15 +41,15 @@ def round_ratio(num: Column, den: Column, scale: int = 2) -> Column:
     doubles; the final division by 10^scale is one correctly-rounded IEEE op.
     """
     p = 10**scale
-    num = num.cast("long")
-    den = den.cast("long")
-    mag = idiv(F.abs(num) * (2 * p) + den, den * 2)
+    num = num.cast(EXACT)
+    den = den.cast(EXACT)
+    mag = idiv(F.abs(num) * F.lit(2 * p).cast(EXACT) + den, den * F.lit(2).cast(EXACT))
     return (F.signum(num).cast("long") * mag).cast("double") / p
 
 
 def rate(num: Column, den: Column) -> Column:
     """Percentage ``round(num * 100 / den, 2)``; null when ``den`` is 0."""
-    return round_ratio(num * 100, den, 2)
+    return round_ratio(num.cast(EXACT) * F.lit(100).cast(EXACT), den, 2)
 
 
 def percent(num: Column, den: Column) -> Column:
@@ -60,7 +63,7 @@ def fraction(num: Column, den: Column) -> Column:
 
 def cents(money: Column) -> Column:
     """Exact integer cents of a DECIMAL(·,2) money value."""
-    return (money * 100).cast("long")
+    return (money * 100).cast(EXACT)
 
 
 def money(c: Column) -> Column:
