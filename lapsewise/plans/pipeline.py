@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import threading
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,10 +34,12 @@ _MODELS: dict[tuple, "Model"] = {}
 class Model:
     """The cleaned and feature tables of one input directory."""
 
-    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame], as_of: dt.date):
+    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame], as_of: dt.date,
+                 timings: dict[str, float] | None = None):
         self.spark = spark
         self.tables = tables
         self.as_of = as_of
+        self.timings = timings or {}
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -67,8 +70,12 @@ def lazy_model(spark: SparkSession, sf_dir: str, as_of: dt.date = K.FIXTURE_AS_O
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: dt.date) -> Model:
     """Clean and feature stages, each written to ``root`` and read back."""
+    timings: dict[str, float] = {}
+
     def stage(name: str, df: DataFrame) -> DataFrame:
+        t0 = time.perf_counter()
         write_layer(df, root, name)
+        timings[name] = round(time.perf_counter() - t0, 3)
         return read_layer(spark, root, name)
 
     base = stage("clean/policies_base", cleaning.clean_policies_base(raw["policies"], as_of))
@@ -86,7 +93,7 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
     pf = stage("features/policies", build_policy_features(t["policies"], t["premium_payments"],
                                                           t["policy_events"], t["dates"], as_of))
     cf = stage("features/customers", build_customer_features(t["customers"], pf, t["policy_events"]))
-    return Model(spark, {**t, "policy_features": pf, "customer_features": cf}, as_of)
+    return Model(spark, {**t, "policy_features": pf, "customer_features": cf}, as_of, timings)
 
 
 def layer_root(spark: SparkSession, sf_dir: str, as_of: dt.date) -> str:

@@ -142,12 +142,21 @@ def dates(spark: SparkSession) -> DataFrame:
                     F.dayofweek(day).between(2, 6).cast("int").alias("is_weekday")))
 
 
+def literal_table(spark: SparkSession, rows, names: list[str]) -> DataFrame:
+    """A small fixed table built JVM-side (``inline`` of literal structs), so
+    no Python worker is involved in producing it."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def products(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(PRODUCTS), "product_id int, product_name string, product_category string")
+    df = literal_table(spark, PRODUCTS, ["product_id", "product_name", "product_category"])
+    return df.withColumn("product_id", F.col("product_id").cast("int"))
 
 
 def channels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CHANNELS), "channel_id int, channel_name string, channel_type string")
+    df = literal_table(spark, CHANNELS, ["channel_id", "channel_name", "channel_type"])
+    return df.withColumn("channel_id", F.col("channel_id").cast("int"))
 
 
 def agents(supplier: DataFrame) -> DataFrame:
