@@ -35,6 +35,24 @@ def event_summary(events: DataFrame, dates: DataFrame, key: str = "policy_id") -
     )
 
 
+def payment_days(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> DataFrame:
+    """Payments combined per (policy, calendar day), with the gap in days to the
+    policy's previous payment day.  Columns: key, ``__day`` (null when the
+    date is missing from the calendar), ``__n`` payments, ``__amt`` valid
+    amount, ``__gap``.
+
+    The ordered window runs over distinct payment days only (bounded by the
+    calendar), so a policy holding a large share of all payments is combined
+    map-side first instead of becoming one huge sorted partition.
+    """
+    cal = dates.select("date_id", F.col("date").alias("__day"))
+    p = join_small(payments.select(key, "date_id", "premium_amount", "is_invalid_amount"), cal, "date_id", "left")
+    valid_amount = F.when(~F.col("is_invalid_amount"), F.col("premium_amount"))
+    per_day = p.groupBy(key, "__day").agg(F.count(F.lit(1)).alias("__n"), F.sum(valid_amount).alias("__amt"))
+    w = Window.partitionBy(key).orderBy("__day")
+    return per_day.withColumn("__gap", F.datediff(F.col("__day"), F.lag("__day").over(w)))
+
+
 def payment_summary(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> DataFrame:
     """E2 + E16 + E17 in one pass.
 
@@ -44,19 +62,11 @@ def payment_summary(payments: DataFrame, dates: DataFrame, key: str = "policy_id
       payments of a policy ordered by payment date, invalid amounts included,
       payments whose date is missing from the calendar excluded.
 
-    Payments are first combined per (policy, day): n payments on one day give
-    n-1 gaps of 0 plus one gap to the previous day.  The ordered window then
-    runs over distinct payment days only (bounded by the calendar), so a policy
-    holding a large share of all payments does not become one huge sorted
-    partition; the median is read from those day gaps and the zero count.
+    n payments on one day give n-1 gaps of 0 plus one gap to the previous
+    day, so the median is read from the sorted day gaps and the zero count;
+    the day-gap list is bounded by the calendar size.
     """
-    cal = dates.select("date_id", F.col("date").alias("__day"))
-    p = join_small(payments.select(key, "date_id", "premium_amount", "is_invalid_amount"), cal, "date_id", "left")
-    valid_amount = F.when(~F.col("is_invalid_amount"), F.col("premium_amount"))
-    per_day = p.groupBy(key, "__day").agg(F.count(F.lit(1)).alias("__n"), F.sum(valid_amount).alias("__amt"))
-    w = Window.partitionBy(key).orderBy("__day")
-    per_day = per_day.withColumn("__gap", F.datediff(F.col("__day"), F.lag("__day").over(w)))
-    s = per_day.groupBy(key).agg(
+    s = payment_days(payments, dates, key).groupBy(key).agg(
         F.sum("__amt").alias("__received"),
         F.sum(F.when(F.col("__day").isNotNull(), F.col("__n"))).alias("__rows"),
         F.count("__day").alias("__days"),
@@ -72,6 +82,18 @@ def payment_summary(payments: DataFrame, dates: DataFrame, key: str = "policy_id
                     median.cast("int").alias("avg_payment_gap"))
 
 
+def gap_histogram(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> DataFrame:
+    """E16 summarised: how many consecutive-payment gaps have each length.
+    Same-day repeats contribute ``n - 1`` zero gaps per day."""
+    d = payment_days(payments, dates, key).filter(F.col("__day").isNotNull())
+    day_gaps = d.filter(F.col("__gap").isNotNull()).groupBy(F.col("__gap").alias("payment_gap_days")).agg(
+        F.count(F.lit(1)).alias("__k"))
+    zero = d.agg(F.sum(F.col("__n") - 1).alias("__k")).select(F.lit(0).alias("payment_gap_days"), "__k")
+    both = day_gaps.unionByName(zero)
+    return (both.groupBy("payment_gap_days").agg(F.sum("__k").cast("long").alias("n_gaps"))
+            .filter(F.col("n_gaps") > 0))
+
+
 def gap_rows(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> DataFrame:
     """E16 as rows: every payment with the gap to the previous one (the form
     the workload writes, ``lag`` over the policy's payments)."""

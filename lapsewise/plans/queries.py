@@ -302,12 +302,10 @@ def acquisition_at_risk(spark, sf_dir):
 
 @query
 def payment_gaps(spark, sf_dir):
-    """E16 in the workload's own form (lag over each policy's payments),
-    summarised as a histogram of gap lengths."""
+    """Histogram of the gaps between consecutive payments (built from
+    the per-day pre-aggregate; ``gap_rows`` is the per-row form)."""
     m = model(spark, sf_dir)
-    g = E.gap_rows(m["premium_payments"].select("policy_id", "date_id"), m["dates"])
-    return g.filter(P("payment_gap_days").isNotNull()).groupBy("payment_gap_days").agg(
-        F.count(F.lit(1)).alias("n_gaps"))
+    return E.gap_histogram(m["premium_payments"], m["dates"])
 
 
 @query
