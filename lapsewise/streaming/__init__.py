@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The analysed workload is batch only — every read is a bounded batch read and
+it has no stream source, watermark, trigger, time window or stateful
+operator — so this package deliberately defines no streaming query.  Batch
+stage layers (``plans.pipeline``) are the only outputs.
+"""
