@@ -66,9 +66,13 @@ def customer_segment_rate(policies: DataFrame, customers: DataFrame, segment: st
 
 # --- portfolio KPIs ----------------------------------------------------------------
 
+def persistency_cols() -> list[Column]:
+    return [fx.rate(fx.count_where(is_status(K.ACTIVE)), F.count("policy_id")).alias("persistency_ratio")]
+
+
 def persistency(policies: DataFrame) -> DataFrame:
     """K1"""
-    return policies.agg(fx.rate(fx.count_where(is_status(K.ACTIVE)), F.count("policy_id")).alias("persistency_ratio"))
+    return policies.agg(*persistency_cols())
 
 
 def customer_renewal_rate(customers: DataFrame) -> DataFrame:
@@ -95,19 +99,27 @@ def policy_renewal_rate(policies: DataFrame, events: DataFrame, as_of: dt.date)
 
 def customer_counts(customers: DataFrame) -> DataFrame:
     """K4–K6 and K2 with its count."""
+    return customers.agg(*customer_count_cols())
+
+
+def customer_count_cols() -> list[Column]:
     n = F.count("customer_id")
     active = fx.count_where(is_status("Active", "customer_latest_status"))
     lapsed = fx.count_where(is_status("Lapsed", "customer_latest_status"))
     renewed = fx.count_where(P("is_renewed_customer"))
-    return customers.agg(
+    return [
         n.alias("total_customers"),
         active.alias("total_active_customer"), fx.rate(active, n).alias("active_customer_rate"),
         lapsed.alias("total_lapsed_customer"), fx.rate(lapsed, n).alias("lapse_rate"),
-        renewed.alias("total_renewed_customers"), fx.rate(renewed, n).alias("customer_renewal_rate"))
+        renewed.alias("total_renewed_customers"), fx.rate(renewed, n).alias("customer_renewal_rate")]
 
 
 def policy_status_kpis(policies: DataFrame) -> DataFrame:
     """K7–K9, K11."""
+    return policies.agg(*policy_status_cols())
+
+
+def policy_status_cols() -> list[Column]:
     n = F.count("policy_id")
     cols = [n.alias("total_policies_issued")]
     for status, cnt, rt in ((K.LAPSED, "total_lapsed_policies", "lapse_rate"),
@@ -115,7 +127,7 @@ def policy_status_kpis(policies: DataFrame) -> DataFrame:
                             (K.CLAIMED, "total_claimed_policies", "claim_rate")):
         c = fx.count_where(is_status(status))
         cols += [c.alias(cnt), fx.rate(c, n).alias(rt)]
-    return policies.agg(*cols)
+    return cols
 
 
 def renewed_policies(events: DataFrame) -> DataFrame:
@@ -125,12 +137,15 @@ def renewed_policies(events: DataFrame) -> DataFrame:
 
 def averages(policies: DataFrame) -> DataFrame:
     """K12 (reliable premiums only) and K13, half-up to 2 decimals."""
+    return policies.agg(*average_cols())
+
+
+def average_cols() -> list[Column]:
     reliable = ~P("is_unreliable_premium")
     prem_cents = F.sum(F.when(reliable, fx.cents(P("policy_premium"))))
-    return policies.agg(
-        fx.round_ratio(prem_cents, fx.count_where(reliable & P("policy_premium").isNotNull()) * 100, 2)
-        .alias("avg_premium_value"),
-        fx.round_ratio(F.sum("policy_tenure"), F.count("policy_tenure"), 2).alias("avg_policy_tenure"))
+    return [fx.round_ratio(prem_cents, fx.count_where(reliable & P("policy_premium").isNotNull()) * 100, 2)
+            .alias("avg_premium_value"),
+            fx.round_ratio(F.sum("policy_tenure"), F.count("policy_tenure"), 2).alias("avg_policy_tenure")]
 
 
 # --- channel KPIs ------------------------------------------------------------------
@@ -173,20 +188,27 @@ def channel_risk_pct(policies: DataFrame) -> DataFrame:
 
 def financial_totals(policies: DataFrame, customers: DataFrame) -> DataFrame:
     """K20–K24, K26 in one scan of each feature table."""
+    p = policies.agg(*financial_policy_cols())
+    c = customers.agg(*financial_customer_cols())
+    return _one_row_pair(p, c)
+
+
+def financial_customer_cols() -> list[Column]:
+    return [fx.round_ratio(F.sum(fx.cents(P("expected_lifetime_value"))), F.count("expected_lifetime_value") * 100, 6)
+            .alias("expected_customer_lifetime_value")]
+
+
+def financial_policy_cols() -> list[Column]:
     leak = F.sum(lapsed_cost())
     spent = F.sum("cost_spent")
-    p = policies.agg(
+    return [
         fx.money(F.sum("total_premium_received")).alias("total_premium_received"),
         fx.money(spent).alias("total_acquisition_cost_spent"),
         fx.money(leak).alias("total_acquisition_at_risk"),
         fx.rate(fx.cents(leak), fx.cents(spent)).alias("total_acquisition_per_at_risk"),
         fx.money(F.sum(F.when(is_status(K.LAPSED), P("total_premium_received")))).alias("money_received_before_lapse"),
         fx.money(F.sum("unrealised_premium_value")).alias("total_ltv_loss"),
-        fx.money(F.sum("expected_premium_value")).alias("total_expected_premium_value"))
-    c = customers.agg(
-        fx.round_ratio(F.sum(fx.cents(P("expected_lifetime_value"))), F.count("expected_lifetime_value") * 100, 6)
-        .alias("expected_customer_lifetime_value"))
-    return _one_row_pair(p, c)
+        fx.money(F.sum("expected_premium_value")).alias("total_expected_premium_value")]
 
 
 def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -203,16 +225,24 @@ def lapse_by(policies: DataFrame, by: str, rate_name: str, n_name: str = "total_
 
 def early_lapse_rate(policies: DataFrame) -> DataFrame:
     """K27"""
+    return policies.agg(*early_lapse_cols())
+
+
+def early_lapse_cols() -> list[Column]:
     n = fx.count_where(is_status(K.LAPSED) & P("is_early_defaulted"))
-    return policies.agg(n.alias("total_early_lapsed"), fx.rate(n, F.count("policy_id")).alias("early_lapse_rate"))
+    return [n.alias("total_early_lapsed"), fx.rate(n, F.count("policy_id")).alias("early_lapse_rate")]
 
 
 def lapse_after_grace(policies: DataFrame, denom: str = "policies") -> DataFrame:
     """Of all policies (as the workload's SQL); ``denom="lapsed"`` gives
     the share of lapses its README describes."""
+    return policies.agg(*lapse_after_grace_cols(denom))
+
+
+def lapse_after_grace_cols(denom: str = "policies") -> list[Column]:
     n = fx.count_where(is_status(K.LAPSED) & P("is_lapsed_after_grace"))
     d = F.count("policy_id") if denom == "policies" else fx.count_where(is_status(K.LAPSED))
-    return policies.agg(n.alias("total_lapsed_after_grace"), fx.rate(n, d).alias("lapse_rate_after_grace"))
+    return [n.alias("total_lapsed_after_grace"), fx.rate(n, d).alias("lapse_rate_after_grace")]
 
 
 def lapse_by_category(policies: DataFrame, products: DataFrame) -> DataFrame:
@@ -241,15 +271,24 @@ def premium_composition(policies: DataFrame) -> DataFrame:
 
 
 def scorecard(policies: DataFrame, customers: DataFrame, events: DataFrame, as_of: dt.date) -> DataFrame:
-    """The headline KPIs as (kpi, value) rows."""
-    parts = [persistency(policies), customer_renewal_rate(customers), policy_renewal_rate(policies, events, as_of),
-             customer_counts(customers).drop("customer_renewal_rate")
-             .withColumnRenamed("lapse_rate", "customer_lapse_rate"), policy_status_kpis(policies),
-             renewed_policies(events), averages(policies), financial_totals(policies, customers),
-             early_lapse_rate(policies), lapse_after_grace(policies)]
+    """The headline KPIs as (kpi, value) rows — one aggregate per feature
+    table, plus the two event-based counts."""
+    pol = policies.agg(*persistency_cols(), *policy_status_cols(), *average_cols(), *financial_policy_cols(),
+                       *early_lapse_cols(), *lapse_after_grace_cols())
+    ccols = customer_count_cols()
+    ccols[4] = ccols[4].alias("customer_lapse_rate")  # "lapse_rate" is the policy one here
+    cust = customers.agg(*ccols, *financial_customer_cols())
+    parts = [pol, cust, policy_renewal_rate(policies, events, as_of), renewed_policies(events)]
     wide = parts[0]
     for p in parts[1:]:
         wide = _one_row_pair(wide, p)
-    cols = wide.columns
-    wide = wide.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    return wide.unpivot([], cols, "kpi", "value")
+    order = ["persistency_ratio", "customer_renewal_rate", "policy_renewal_rate", "total_customers",
+             "total_active_customer", "active_customer_rate", "total_lapsed_customer", "customer_lapse_rate",
+             "total_renewed_customers", "total_policies_issued", "total_lapsed_policies", "lapse_rate",
+             "total_cancelled_policies", "cancellation_rate", "total_claimed_policies", "claim_rate",
+             "total_renewed_policies", "avg_premium_value", "avg_policy_tenure", "total_premium_received",
+             "total_acquisition_cost_spent", "total_acquisition_at_risk", "total_acquisition_per_at_risk",
+             "money_received_before_lapse", "total_ltv_loss", "total_expected_premium_value",
+             "expected_customer_lifetime_value", "total_early_lapsed", "early_lapse_rate",
+             "total_lapsed_after_grace", "lapse_rate_after_grace"]
+    return wide.select(*[P(c).cast("double").alias(c) for c in order]).unpivot([], order, "kpi", "value")

@@ -23,7 +23,7 @@ from ..operators import kpi as Q
 from ..operators import profile as PR
 from ..sources import adapter
 from . import cleaning
-from .pipeline import materialize
+from .pipeline import materialize, materialize_raw
 
 AS_OF = K.FIXTURE_AS_OF
 P = F.col
@@ -44,7 +44,7 @@ def out(df: DataFrame) -> DataFrame:
 
 
 def raw(spark, sf_dir):
-    return adapter.raw_tables(spark, sf_dir)
+    return materialize_raw(spark, sf_dir)
 
 
 def model(spark, sf_dir):
