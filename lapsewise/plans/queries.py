@@ -152,18 +152,26 @@ def status_pairs(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
-    """The post-cleaning validation as (check, table, column, value) rows."""
+    """The post-cleaning validation as (check, table, column, value) rows.
+    Row count, null counts and flag checks of a table come from one aggregate
+    (one scan per table); key duplicates and orphans add their own jobs."""
     m = model(spark, sf_dir)
     t = m.tables
     rows = []
+    flags = {n: rules for n, _, rules in flag_rules(m)}
     for n in ("customers", "policies", "policy_events", "premium_payments"):
-        rows.append(PR.as_report(PR.shape(t[n], n), "row_count", n, F.lit(None).cast("string"), P("n_rows")))
-        rows.append(PR.as_report(PR.null_counts(t[n], n), "null_count", n, P("column_name"), P("null_count")))
+        df = t[n]
+        cols = {"row_count||": F.count(F.lit(1))}
+        cols.update({f"null_count||{c}": F.count_if(P(c).isNull()) for c in df.columns})
+        cols.update({f"flag_missing||{f}": fx.count_where(~P(f) & pred) for f, pred in flags.get(n, {}).items()})
+        wide = df.agg(*[v.cast("long").alias(k) for k, v in cols.items()])
+        long = wide.unpivot([], list(cols), "__k", "value")
+        parts = F.split(P("__k"), "\\|\\|")
+        rows.append(long.select(parts[0].alias("check_name"), F.lit(n).alias("table_name"),
+                                F.nullif(parts[1], F.lit("")).alias("column_name"), "value"))
     for n, keys in RAW_KEYS:
         rows.append(PR.as_report(PR.duplicate_count(t[n], n, keys), "duplicate_keys", n, P("key_columns"),
                                  P("n_duplicates")))
-    for n, df, rules in flag_rules(m):
-        rows.append(PR.as_report(PR.flag_mismatch(df, n, rules), "flag_missing", n, P("flag_name"), P("n_missing")))
     for o in orphan_checks(t, "clean"):
         rows.append(PR.as_report(o, "orphan_rows", P("child_table"), P("key_column"), P("n_orphan_rows")))
     return PR.union_all(rows)
