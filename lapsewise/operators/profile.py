@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import columns as fx
 
@@ -98,6 +99,31 @@ def status_pairs(events: DataFrame, predicate: Column) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_events")))
 
 
+def schema_violations(df: DataFrame, name: str, contract: StructType) -> DataFrame:
+    """The table's columns against a declared contract — one row per
+    column with ``ok``, ``type_mismatch``, ``missing`` or ``unexpected``.
+    Reads only metadata; the rows are built JVM-side from literals."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    expected = {f.name: f.dataType.simpleString() for f in contract.fields}
+    rows = []
+    for c in list(expected) + [c for c in actual if c not in expected]:
+        e, a = expected.get(c), actual.get(c)
+        status = "missing" if a is None else "unexpected" if e is None else "ok" if a == e else "type_mismatch"
+        rows.append(F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
+                             F.lit(e).cast("string").alias("expected_type"), F.lit(a).cast("string").alias("actual_type"),
+                             F.lit(status).alias("status")))
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+
+
+def cast_failures(df: DataFrame, name: str, targets: dict[str, str]) -> DataFrame:
+    """P2, data side: values present but not castable to the contract type
+    (``try_cast`` gives null), per column, in one pass."""
+    wide = df.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c)
+                    for c, t in targets.items()])
+    return (wide.unpivot([], list(targets), "column_name", "n_uncastable")
+            .select(F.lit(name).alias("table_name"), "column_name", "n_uncastable"))
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -21,7 +21,7 @@ from ..operators import clean as C
 from ..operators import features as E
 from ..operators import kpi as Q
 from ..operators import profile as PR
-from ..sources import adapter
+from ..sources import adapter, schemas
 from . import cleaning
 from .pipeline import materialize, materialize_raw
 
@@ -86,6 +86,26 @@ def value_counts_status(spark, sf_dir):
     return PR.union_all([p.withColumn("value", P("value").cast("string")) for p in parts])
 
 
+@query
+def schema_check(spark, sf_dir):
+    """Raw tables against the declared raw schemas (metadata only; no
+    oracle — the check is about Spark types)."""
+    t = raw(spark, sf_dir)
+    return PR.union_all([PR.schema_violations(t[n], n, schemas.RAW[n]) for n in schemas.RAW])
+
+
+@query
+def cast_check(spark, sf_dir):
+    """P2 data side: raw text columns whose values would not cast to a
+    numeric or date type."""
+    t = raw(spark, sf_dir)
+    return PR.union_all([
+        PR.cast_failures(t["policies"], "policies", {"policy_number": "int", "agent_id": "int"}),
+        PR.cast_failures(t["customers"], "customers", {"customer_name": "int", "customer_city": "int"}),
+        PR.cast_failures(t["policy_events"], "policy_events", {"current_status": "date"}),
+    ])
+
+
 @query
 def describe_premium(spark, sf_dir):
     return PR.describe(raw(spark, sf_dir)["policies"], "policies", ["policy_premium", "policy_value", "cost_spent"])

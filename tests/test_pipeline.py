@@ -74,4 +74,16 @@ def test_entry_points(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["age_bucket", "total_lapsed", "lapse_rate_by_age"]
     assert df.count() > 0
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    rows_only = set(entry_mod.queries()) - set(entry_mod.oracle_sql())
+    assert rows_only == {"schema_check"}          # metadata check, no SQL equivalent
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
+
+
+def test_schema_violations(spark):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from lapsewise.operators import profile as PR
+    df = spark.createDataFrame([(1, "a")], "a long, b string")
+    contract = StructType([StructField("a", IntegerType()), StructField("c", StringType())])
+    got = {r["column_name"]: r["status"] for r in PR.schema_violations(df, "t", contract).collect()}
+    assert got == {"a": "type_mismatch", "c": "missing", "b": "unexpected"}
