@@ -106,6 +106,12 @@ def cast_check(spark, sf_dir):
     ])
 
 
+@query
+def dates_by_year(spark, sf_dir):
+    """P6s: calendar days per year, sorted by year."""
+    return PR.value_counts(raw(spark, sf_dir)["dates"], "year", sort=True)
+
+
 @query
 def describe_premium(spark, sf_dir):
     return PR.describe(raw(spark, sf_dir)["policies"], "policies", ["policy_premium", "policy_value", "cost_spent"])
@@ -197,6 +203,21 @@ def quality_report(spark, sf_dir):
     return PR.union_all(rows)
 
 
+POLICY_FEATURE_CHECKS = ["total_premium_received", "expected_premium_value", "unrealised_premium_value",
+                         "is_negative_unrealised", "has_unrealised_value", "is_early_defaulted", "has_lapsed_date",
+                         "is_lapsed_after_grace", "is_acquisition_at_risk", "payment_frequency"]
+CUSTOMER_FEATURE_CHECKS = ["customer_latest_status", "no_of_policies", "is_renewed_customer",
+                           "expected_lifetime_value", "age_bucket"]
+
+
+@query
+def feature_null_check(spark, sf_dir):
+    """Nulls in the derived feature columns (all must be 0)."""
+    m = model(spark, sf_dir)
+    return PR.null_counts(m.policies, "policy_features", POLICY_FEATURE_CHECKS).unionByName(
+        PR.null_counts(m.customers, "customer_features", CUSTOMER_FEATURE_CHECKS))
+
+
 # ---------------------------------------------------------------- cleaning (C)
 
 @query
@@ -276,6 +297,16 @@ def clean_events(spark, sf_dir):
     return model(spark, sf_dir)["policy_events"]
 
 
+@query
+def clean_agents(spark, sf_dir):
+    return model(spark, sf_dir)["agents"]
+
+
+@query
+def clean_dates(spark, sf_dir):
+    return model(spark, sf_dir)["dates"]
+
+
 @query
 def clean_payments(spark, sf_dir):
     return out(model(spark, sf_dir)["premium_payments"])
