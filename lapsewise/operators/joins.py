@@ -16,13 +16,23 @@ from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
+_PERSISTED: list[DataFrame] = []
+
 
 def checked_small(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(small)
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small
 
 
+def release_checked() -> None:
+    """Drop the cached small sides once the plans using them are written
+    (a later use simply recomputes them)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "left",
                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     return big.join(checked_small(small, max_rows), on, how)
