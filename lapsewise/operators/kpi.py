@@ -190,7 +190,7 @@ def financial_totals(policies: DataFrame, customers: DataFrame) -> DataFrame:
     """K20–K24, K26 in one scan of each feature table."""
     p = policies.agg(*financial_policy_cols())
     c = customers.agg(*financial_customer_cols())
-    return _one_row_pair(p, c)
+    return side_by_side(p, c)
 
 
 def financial_customer_cols() -> list[Column]:
@@ -211,8 +211,8 @@ def financial_policy_cols() -> list[Column]:
         fx.money(F.sum("expected_premium_value")).alias("total_expected_premium_value")]
 
 
-def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side-by-side of two single-row aggregates (joined on a constant key)."""
+def side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two single-row aggregates as one row (equi-join on a constant key)."""
     k = F.lit(1).alias("__one")
     return a.select(k, "*").join(b.select(k, "*"), "__one").drop("__one")
 
@@ -281,7 +281,7 @@ def scorecard(policies: DataFrame, customers: DataFrame, events: DataFrame, as_o
     parts = [pol, cust, policy_renewal_rate(policies, events, as_of), renewed_policies(events)]
     wide = parts[0]
     for p in parts[1:]:
-        wide = _one_row_pair(wide, p)
+        wide = side_by_side(wide, p)
     order = ["persistency_ratio", "customer_renewal_rate", "policy_renewal_rate", "total_customers",
              "total_active_customer", "active_customer_rate", "total_lapsed_customer", "customer_lapse_rate",
              "total_renewed_customers", "total_policies_issued", "total_lapsed_policies", "lapse_rate",

@@ -21,7 +21,7 @@ from ..operators import clean as C
 from ..operators import features as E
 from ..operators import kpi as Q
 from ..operators import profile as PR
-from ..sources import adapter, schemas
+from ..sources import schemas
 from . import cleaning
 from .pipeline import materialize, materialize_raw
 
@@ -268,7 +268,7 @@ def drop_orphans(spark, sf_dir):
         before = r[n].agg(F.count(F.lit(1)).alias("rows_before"))
         kept = C.drop_orphans(r[n], r["policies"], "policy_id").agg(F.count(F.lit(1)).alias("rows_after_ghosts"))
         final = m[n].agg(F.count(F.lit(1)).alias("rows_after_dedupe"))
-        parts.append(Q._one_row_pair(Q._one_row_pair(before, kept), final).select(F.lit(n).alias("table_name"), "*"))
+        parts.append(Q.side_by_side(Q.side_by_side(before, kept), final).select(F.lit(n).alias("table_name"), "*"))
     return PR.union_all(parts)
 
 
