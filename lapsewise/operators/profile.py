@@ -44,22 +44,21 @@ def value_counts(df: DataFrame, col: str, sort: bool = False) -> DataFrame:
 
 
 def describe(df: DataFrame, name: str, cols: Sequence[str], scale: int = 2) -> DataFrame:
-    """Count, mean, stddev, min, max per numeric column, as DOUBLE.  The
-    mean is exact half-up to ``scale`` decimals; stddev is rounded to it."""
-    parts = []
-    for c in cols:
+    """Count, mean, stddev, min, max per numeric column, as DOUBLE, all
+    columns in one aggregate.  The mean is exact half-up to ``scale``
+    decimals; stddev is rounded to it."""
+    aggs, rows = [], []
+    for i, c in enumerate(cols):
         x = F.col(c)
         scaled = (x * (10**scale)).cast("decimal(38,0)")
-        parts.append(df.agg(
-            F.count(x).alias("n"),
-            fx.round_ratio(F.sum(scaled), F.count(x) * (10**scale), scale).alias("mean"),
-            F.round(F.stddev_samp(x.cast("double")), scale).alias("stddev"),
-            F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max"),
-        ).select(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        aggs += [F.count(x).alias(f"n{i}"),
+                 fx.round_ratio(F.sum(scaled), F.count(x) * (10**scale), scale).alias(f"mean{i}"),
+                 F.round(F.stddev_samp(x.cast("double")), scale).alias(f"sd{i}"),
+                 F.min(x).cast("double").alias(f"min{i}"), F.max(x).cast("double").alias(f"max{i}")]
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), F.col(f"mean{i}").alias("mean"),
+                             F.col(f"sd{i}").alias("stddev"), F.col(f"min{i}").alias("min"),
+                             F.col(f"max{i}").alias("max")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows))).select(F.lit(name).alias("table_name"), "*")
 
 
 def violation_counts(df: DataFrame, name: str, rules: dict[str, Column]) -> DataFrame:

@@ -133,3 +133,26 @@ def materialize(spark: SparkSession, sf_dir: str, as_of: dt.date = K.FIXTURE_AS_
             model = run_pipeline(spark, raw, layer_root(spark, sf_dir, as_of), as_of)
             _MODELS[key] = model
         return model
+
+
+def write_bi_extracts(model: Model, root: str, fmt: str = "csv") -> dict[str, str]:
+    """S6–S8 sinks: the three extracts the dashboards read (policies with
+    channel and product attributes, customers, premium composition), written
+    with a header row for the BI tool.  Returns name → path."""
+    from ..operators import bi as B
+    from ..operators import kpi as Q
+
+    extracts = {
+        "policies": B.bi_policies(model.policies, model["channels"], model["products"]),
+        "customers": B.bi_customers(model.customers),
+        "premium_distribution": Q.premium_composition(model.policies),
+    }
+    out = {}
+    for name, df in extracts.items():
+        writer = df.write.mode("overwrite").format(fmt)
+        if fmt == "csv":
+            writer = writer.option("header", True)
+        path = f"{root.rstrip('/')}/bi/{name}"
+        writer.save(path)
+        out[name] = path
+    return out

@@ -31,3 +31,16 @@ def test_layers_and_views(spark, tmp_path):
     io.register_views(spark, {"policies": back})
     sql = spark.sql("SELECT round(count_if(latest_status = 'active') * 100.0 / count(policy_id), 2) AS p FROM policies")
     assert float(sql.first()["p"]) == Q.persistency(back).first()["persistency_ratio"] == 66.67
+
+
+def test_bi_extracts_written_as_csv(spark, tmp_path):
+    from lapsewise.plans.pipeline import materialize, write_bi_extracts
+    from lapsewise.sources import io as sio
+
+    from .conftest import SF001
+    m = materialize(spark, SF001)
+    paths = write_bi_extracts(m, str(tmp_path))
+    pol = sio.read_raw(spark, paths["policies"], inferSchema=False)
+    assert pol.count() == m.policies.count() and "channel_name" in pol.columns and "product_category" in pol.columns
+    prem = spark.read.option("header", True).csv(paths["premium_distribution"])
+    assert sorted(r["premium_status"] for r in prem.collect()) == ["Collected", "Remaining Collectable", "Unrealised"]
