@@ -106,18 +106,24 @@ def layer_root(spark: SparkSession, sf_dir: str, as_of: dt.date | None = None) -
 _RAW: dict[tuple, dict[str, DataFrame]] = {}
 
 
-def materialize_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The raw landing layer: the adapter's eight tables written once per
-    session and input, so profiling and cleaning scan files (as the workload
-    profiles its raw CSVs) instead of recomputing the adapter."""
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
+# raw tables whose derivation shuffles (the events' previous status is a
+# per-policy window); they are landed once.  The other raw tables are
+# row-wise projections of the inputs: landing them would only copy the
+# largest tables, so they stay lazy and every reader scans the inputs.
+LANDED = ("policy_events",)
+
+
+def materialize_raw(spark: SparkSession, sf_dir: str, landed: tuple[str, ...] = LANDED) -> dict[str, DataFrame]:
+    """The raw domain tables of ``sf_dir``: the ``landed`` ones written once
+    per session and input and read back, the rest lazy projections."""
+    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), landed)
     with _LOCK:
         tables = _RAW.get(key)
         if tables is None:
             root = layer_root(spark, sf_dir) + "/raw"
-            tables = {}
-            for name, df in adapter.raw_tables(spark, sf_dir).items():
-                write_layer(df, root, name)
+            tables = adapter.raw_tables(spark, sf_dir)
+            for name in landed:
+                write_layer(tables[name], root, name)
                 tables[name] = read_layer(spark, root, name)
             _RAW[key] = tables
         return tables
