@@ -79,12 +79,16 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
         timings[name] = round(time.perf_counter() - t0, 3)
         return read_layer(spark, root, name)
 
-    base = stage("clean/policies_base", cleaning.clean_policies_base(raw["policies"], as_of))
-    events = stage("clean/policy_events", cleaning.clean_events(raw["policy_events"], base))
+    # base cleaning keeps every policy row, so the orphan checks of events and
+    # payments read only the raw policy keys; the policies table itself is
+    # written once, after its status refresh
+    keys = raw["policies"].select("policy_id")
+    events = stage("clean/policy_events", cleaning.clean_events(raw["policy_events"], keys))
+    base = cleaning.clean_policies_base(raw["policies"], as_of)
     t = {
         "policy_events": events,
         "policies": stage("clean/policies", cleaning.refresh_policy_status(base, events)),
-        "premium_payments": stage("clean/premium_payments", cleaning.clean_payments(raw["premium_payments"], base)),
+        "premium_payments": stage("clean/premium_payments", cleaning.clean_payments(raw["premium_payments"], keys)),
         "customers": stage("clean/customers", cleaning.clean_customers(raw["customers"])),
         "agents": stage("clean/agents", cleaning.clean_agents(raw["agents"])),
         "dates": stage("clean/dates", cleaning.clean_dates(raw["dates"])),
