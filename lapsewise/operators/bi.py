@@ -123,7 +123,9 @@ def product_measure(bi: DataFrame, choice: str = "Unrealised Premium") -> DataFr
 
 
 def each_choice(fn, df: DataFrame, pairs, key: str = "choice") -> DataFrame:
-    """All parameter members of a switch in one long frame."""
+    """All parameter members of a switch in one long frame (one query per
+    member, unioned) — the simple form; the ``*_all`` operators below do the
+    same in one scan."""
     out = None
     for member, _ in pairs:
         part = fn(df, member).select(F.lit(member).alias(key), "*")
@@ -131,6 +133,39 @@ def each_choice(fn, df: DataFrame, pairs, key: str = "choice") -> DataFrame:
     return out
 
 
+def _members(pairs, value: Column | None = None) -> Column:
+    """One (choice, segment[, value]) struct per parameter member."""
+    fields = lambda m, c: [F.lit(m).alias("choice"), P(c).cast("string").alias("segment")] + (
+        [] if value is None else [value.alias("value")])
+    return F.explode(F.array(*[F.struct(*fields(m, c)) for m, c in pairs])).alias("__m")
+
+
+def lapse_by_customer_segment_all(customers: DataFrame) -> DataFrame:
+    """B15 for every member in one scan: each customer row is expanded to one
+    row per member and a single grouped aggregate runs (partial aggregation
+    collapses the expansion map-side)."""
+    lapsed = fx.flag(kpi.is_status("Lapsed", "customer_latest_status"))
+    x = customers.select(_members(CUSTOMER_SEGMENTS), lapsed.alias("__l"))
+    return x.groupBy(P("__m.choice").alias("choice"), P("__m.segment").alias("segment")).agg(
+        fx.fraction(F.count_if(P("__l")), F.count(F.lit(1))).alias("lapse_rate"))
+
+
+def lapse_by_policy_segment_all(bi: DataFrame) -> DataFrame:
+    """B16 for every member in one scan."""
+    x = bi.select(_members(POLICY_SEGMENTS), fx.flag(kpi.is_status(K.LAPSED)).alias("__l"), "policy_id")
+    return x.groupBy(P("__m.choice").alias("choice"), P("__m.segment").alias("segment")).agg(
+        fx.percent(F.count_if(P("__l")), F.count("policy_id")).alias("lapse_rate"))
+
+
+def product_measure_all(bi: DataFrame) -> DataFrame:
+    """B25 for both members in one scan."""
+    out = None
+    structs = [F.struct(F.lit(m).alias("choice"), P(c).cast("decimal(38,2)").alias("value")) for m, c in PRODUCT_MEASURES]
+    x = bi.select("product_name", F.explode(F.array(*structs)).alias("__m"))
+    out = x.groupBy(P("__m.choice").alias("choice"), "product_name").agg(fx.money(F.sum("__m.value")).alias("product_measure"))
+    return out
+
+
 # --- KPI tiles ----------------------------------------------------------------------
 
 def _tiles(df: DataFrame, cols: dict[str, Column]) -> DataFrame:

@@ -84,14 +84,14 @@ def payment_summary(payments: DataFrame, dates: DataFrame, key: str = "policy_id
 
 def gap_histogram(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> DataFrame:
     """E16 summarised: how many consecutive-payment gaps have each length.
-    Same-day repeats contribute ``n - 1`` zero gaps per day."""
+    Each payment day contributes its gap to the previous day (weight 1) and
+    ``n - 1`` same-day zero gaps; one grouped sum over those weights."""
     d = payment_days(payments, dates, key).filter(F.col("__day").isNotNull())
-    day_gaps = d.filter(F.col("__gap").isNotNull()).groupBy(F.col("__gap").alias("payment_gap_days")).agg(
-        F.count(F.lit(1)).alias("__k"))
-    zero = d.agg(F.sum(F.col("__n") - 1).alias("__k")).select(F.lit(0).alias("payment_gap_days"), "__k")
-    both = day_gaps.unionByName(zero)
-    return (both.groupBy("payment_gap_days").agg(F.sum("__k").cast("long").alias("n_gaps"))
-            .filter(F.col("n_gaps") > 0))
+    weighted = F.array(
+        F.struct(F.col("__gap").alias("g"), F.lit(1).cast("long").alias("w")),
+        F.struct(F.lit(0).alias("g"), (F.col("__n") - 1).cast("long").alias("w")))
+    x = d.select(F.inline(weighted)).filter(F.col("g").isNotNull() & (F.col("w") > 0))
+    return x.groupBy(F.col("g").alias("payment_gap_days")).agg(F.sum("w").alias("n_gaps"))
 
 
 def gap_rows(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> DataFrame:

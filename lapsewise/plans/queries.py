@@ -597,12 +597,12 @@ def financial_kpis(spark, sf_dir):
 
 @query
 def lapse_by_customer_segment(spark, sf_dir):
-    return B.each_choice(B.lapse_by_customer_segment, model(spark, sf_dir).customers, B.CUSTOMER_SEGMENTS)
+    return B.lapse_by_customer_segment_all(model(spark, sf_dir).customers)
 
 
 @query
 def lapse_by_policy_segment(spark, sf_dir):
-    return B.each_choice(B.lapse_by_policy_segment, _bi(model(spark, sf_dir)), B.POLICY_SEGMENTS)
+    return B.lapse_by_policy_segment_all(_bi(model(spark, sf_dir)))
 
 
 @query
@@ -628,4 +628,4 @@ def unrealised_by_product(spark, sf_dir):
 
 @query
 def product_measure(spark, sf_dir):
-    return B.each_choice(B.product_measure, _bi(model(spark, sf_dir)), B.PRODUCT_MEASURES)
+    return B.product_measure_all(_bi(model(spark, sf_dir)))
