@@ -34,13 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and stage layers.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set — local tests — a scratch folder is created and
-    registered, so every later call in the session agrees on it.
+    Only when neither is set and the master is local (tests, the bench) a
+    scratch folder is created and registered, so every later call in the
+    session agrees on it; on a cluster a machine-local folder would not be
+    shared, so an unset setting is an error there.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: the stage layers are written there")
     scratch = tempfile.mkdtemp(prefix="lapsewise-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir().rstrip("/")
