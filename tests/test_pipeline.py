@@ -74,6 +74,9 @@ def test_entry_points(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["age_bucket", "total_lapsed", "lapse_rate_by_age"]
     assert df.count() > 0
+    layered = REGISTRY[entry_mod.FLAGSHIP](spark, SF001)
+    assert df.exceptAll(layered).count() == 0 and layered.exceptAll(df).count() == 0
+    assert "lineitem" not in df._jdf.queryExecution().executedPlan().toString()
     rows_only = set(entry_mod.queries()) - set(entry_mod.oracle_sql())
     assert rows_only == {"schema_check"}          # metadata check, no SQL equivalent
     assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
