@@ -102,6 +102,20 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
     return Model(spark, {**t, "policy_features": pf, "customer_features": cf}, as_of, timings)
 
 
+def run_from_csv(spark: SparkSession, csv_paths: dict[str, str], root: str, as_of: dt.date = K.REFERENCE_AS_OF,
+                 schemas: dict | None = None) -> Model:
+    """The pipeline over the eight raw CSV files (header row, declared
+    schemas — no inference pass), layers written under ``root``.
+    ``csv_paths`` maps customers, policies, products, channels, agents,
+    dates, policy_events and premium_payments to files or folders."""
+    from ..sources import schemas as raw_schemas
+    from ..sources.io import read_raw
+
+    declared = {**raw_schemas.RAW, **(schemas or {})}
+    raw = {name: read_raw(spark, path, declared[name]) for name, path in csv_paths.items()}
+    return run_pipeline(spark, raw, root, as_of)
+
+
 def layer_root(spark: SparkSession, sf_dir: str, as_of: dt.date | None = None) -> str:
     tag = hashlib.sha1(f"{sf_dir}|{as_of}".encode()).hexdigest()[:10]
     return f"{shared_dir(spark)}/lapsewise-layers/{_RUN}/{tag}"
