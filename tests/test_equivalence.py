@@ -27,3 +27,16 @@ def test_lazy_pipeline_equals_layered(spark):
     layered = materialize(spark, SF001)
     assert same(lazy.policies, layered.policies)
     assert same(lazy.customers, layered.customers)
+
+
+def test_dashboard_bundles_run(spark):
+    m = materialize(spark, SF001)
+    bi = B.bi_policies(m.policies, m["channels"], m["products"])
+    from lapsewise.plans.queries import AS_OF
+    sizes = {}
+    for name in ("Executive", "Retention", "Financial"):
+        tables = B.dashboard_tables(name, bi, m.policies, m.customers, m.events, AS_OF)
+        assert len(tables) == 5
+        sizes[name] = {k: v.count() for k, v in tables.items()}
+        assert all(n > 0 for n in sizes[name].values()), sizes[name]
+    assert sizes["Executive"]["kpis"] == 4 and sizes["Financial"]["kpis"] == 4 and sizes["Retention"]["kpis"] == 4
