@@ -541,7 +541,10 @@ def premium_composition(spark, sf_dir):
 # ---------------------------------------------------------------- dashboards (S, B)
 
 def _bi(m):
-    return B.bi_policies(m.policies, m["channels"], m["products"])
+    """The S6 extract, built (and its dimension sizes checked) once per model."""
+    if "bi_policies" not in m.tables:
+        m.tables["bi_policies"] = B.bi_policies(m.policies, m["channels"], m["products"])
+    return m.tables["bi_policies"]
 
 
 @query
