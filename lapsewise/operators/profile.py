@@ -100,18 +100,21 @@ def status_pairs(events: DataFrame, predicate: Column) -> DataFrame:
 
 def schema_violations(df: DataFrame, name: str, contract: StructType) -> DataFrame:
     """The table's columns against a declared contract — one row per
-    column with ``ok``, ``type_mismatch``, ``missing`` or ``unexpected``.
-    Reads only metadata; the rows are built JVM-side from literals."""
+    column with ``ok``, ``type_mismatch``, ``missing`` or ``unexpected``,
+    and the column's non-null count (one aggregate over the table)."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     expected = {f.name: f.dataType.simpleString() for f in contract.fields}
+    names = list(expected) + [c for c in actual if c not in expected]
+    counts = df.agg(*[F.count(F.col(c)).alias(f"__n{i}") if c in actual else F.lit(None).cast("long").alias(f"__n{i}")
+                      for i, c in enumerate(names)])
     rows = []
-    for c in list(expected) + [c for c in actual if c not in expected]:
+    for i, c in enumerate(names):
         e, a = expected.get(c), actual.get(c)
         status = "missing" if a is None else "unexpected" if e is None else "ok" if a == e else "type_mismatch"
         rows.append(F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
                              F.lit(e).cast("string").alias("expected_type"), F.lit(a).cast("string").alias("actual_type"),
-                             F.lit(status).alias("status")))
-    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+                             F.lit(status).alias("status"), F.col(f"__n{i}").alias("n_non_null")))
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def cast_failures(df: DataFrame, name: str, targets: dict[str, str]) -> DataFrame:
