@@ -134,7 +134,7 @@ LANDED = ("policy_events",)
 def materialize_raw(spark: SparkSession, sf_dir: str, landed: tuple[str, ...] = LANDED) -> dict[str, DataFrame]:
     """The raw domain tables of ``sf_dir``: the ``landed`` ones written once
     per session and input and read back, the rest lazy projections."""
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), landed)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), landed)
     with _LOCK:
         tables = _RAW.get(key)
         if tables is None:
@@ -149,7 +149,7 @@ def materialize_raw(spark: SparkSession, sf_dir: str, landed: tuple[str, ...] =
 
 def materialize(spark: SparkSession, sf_dir: str, as_of: dt.date = K.FIXTURE_AS_OF) -> Model:
     """The layered model of ``sf_dir``, built once per session and input."""
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), as_of)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of)
     with _LOCK:
         model = _MODELS.get(key)
         if model is None:
