@@ -81,6 +81,7 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         t0 = time.perf_counter()
+        spark.sparkContext.setJobDescription(f"lapsewise stage {name}")  # labels the jobs in event logs
         write_layer(df, root, name)
         timings[name] = round(time.perf_counter() - t0, 3)
         return read_layer(spark, root, name)
@@ -89,8 +90,13 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
         """Build and write independent stages; plans map name → builder."""
         if concurrent_jobs <= 1 or len(plans) == 1:
             return {n: stage(n, build()) for n, build in plans.items()}
+
+        def run(n, b):
+            spark.sparkContext.setJobDescription(f"lapsewise stage {n}")  # the builders' size checks too
+            return stage(n, b())
+
         with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
-            futures = {n: pool.submit(lambda n=n, b=b: stage(n, b())) for n, b in plans.items()}
+            futures = {n: pool.submit(run, n, b) for n, b in plans.items()}
             return {n: f.result() for n, f in futures.items()}
 
     # base cleaning keeps every policy row, so the orphan checks of events and

@@ -49,5 +49,15 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that arrives in fewer partitions than the cluster
+    can run at once (a file written as one row group is read by one task, and
+    every map-side step before the first shuffle would run single-threaded).
+    A table with plenty of splits — every large input — is returned as is,
+    so the extra exchange only ever moves small inputs."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
