@@ -1,0 +1,52 @@
+"""Ordered "previous row" without a per-key sorted partition.
+
+``lag(value) over (partition by key order by …)`` sends every row of a key to
+one task; a key holding a third of the table becomes one enormous sorted
+partition.  ``previous_in_order`` gives the same answer with a global range
+sort instead: rows are range-partitioned and sorted on (key, order…) — a hot
+key is spread over many partitions — every row gets its consecutive global
+position (partition offsets come from a per-partition count, one row per
+partition), and the predecessor is fetched by an equi-join on position − 1,
+whose keys are unique and therefore evenly spread.  The ranked rows are
+persisted once so the position lookups all see the same range partitioning.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .joins import _PERSISTED
+
+_POS_BITS = 33  # monotonically_increasing_id: partition index above bit 33
+
+
+def previous_in_order(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
+                      partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out`` = ``value`` of the previous row of the same ``key``
+    in ``order`` (null for a key's first row).  The sort key (key, order…)
+    must be unique, as it is for (policy, date, event id)."""
+    cols = [key, *order]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+              .withColumn("__id", F.monotonically_increasing_id())
+              .withColumn("__part", F.shiftright("__id", _POS_BITS))
+              .withColumn("__pos", F.col("__id").bitwiseAND((1 << _POS_BITS) - 1))
+              .drop("__id"))
+    # The range bounds come from a sample seeded by the RDD, so every branch
+    # below must read this one ranked RDD (a lost cached block is recomputed
+    # from the same RDD, hence the same bounds and positions).
+    ranked = ranked.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(ranked)
+    per_part = ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    # one row per partition: always a small, bounded broadcast
+    pos = ranked.join(F.broadcast(offsets), "__part").withColumn("__g", F.col("__off") + F.col("__pos"))
+    prev = pos.select((F.col("__g") + 1).alias("__g"), F.col(key).alias("__pk"), F.col(value).alias("__pv"))
+    joined = pos.join(prev, "__g", "left")
+    result = F.when(F.col("__pk") == F.col(key), F.col("__pv"))
+    return joined.withColumn(out, result).drop("__g", "__part", "__pos", "__off", "__pk", "__pv")

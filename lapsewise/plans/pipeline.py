@@ -163,6 +163,7 @@ def materialize_raw(spark: SparkSession, sf_dir: str, landed: tuple[str, ...] =
             for name in landed:
                 write_layer(tables[name], root, name)
                 tables[name] = read_layer(spark, root, name)
+            release_checked()
             _RAW[key] = tables
         return tables
 

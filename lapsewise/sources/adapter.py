@@ -12,9 +12,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions import constants as K
+from ..operators.ordering import previous_in_order
 from ..functions.columns import date_lit
 from .io import read_driver
 
@@ -106,8 +106,10 @@ def policy_events(events: DataFrame) -> DataFrame:
         _lookup(F.col("event_type"), STATUS_BY_EVENT_TYPE).alias("current_status"),
         (F.col("event_type") == "purchase").alias("is_renewed"),
     )
-    w = Window.partitionBy("policy_id").orderBy("date_id", "event_id")
-    return base.withColumn("previous_status", F.lag("current_status").over(w)).select(
+    # previous status of the same policy in (date, event) order — a range-sorted
+    # global lag, so a policy with a large share of the events is not one task
+    with_prev = previous_in_order(base, "policy_id", ["date_id", "event_id"], "current_status", "previous_status")
+    return with_prev.select(
         "event_id", "policy_id", "customer_id", "product_id", "channel_id", "date_id", "previous_status",
         "current_status", "is_renewed")
 

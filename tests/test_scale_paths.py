@@ -58,3 +58,16 @@ def test_hot_policy_payment_median_matches_brute_force(spark):
         assert got[pid] == want, pid
     hist = {r["payment_gap_days"]: r["n_gaps"] for r in E.gap_histogram(pay, cal).collect()}
     assert sum(hist.values()) == len(rows) - len(by)
+
+
+def test_previous_in_order_matches_lag_with_a_hot_key(spark):
+    from pyspark.sql import Window
+
+    from lapsewise.operators.ordering import previous_in_order
+    rows = [(0 if i % 3 == 0 else i % 97, i // 7, i, f"s{i % 5}") for i in range(3000)]   # key 0 holds a third
+    df = spark.createDataFrame(rows, "k long, d int, e long, s string")
+    got = previous_in_order(df, "k", ["d", "e"], "s", "prev", partitions=6)
+    want = df.withColumn("prev", F.lag("s").over(Window.partitionBy("k").orderBy("d", "e")))
+    assert got.count() == 3000
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    joins.release_checked()
