@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,14 +18,25 @@ from ..session import shared_dir
 #: Bytes of text that one chunk (one Python call) holds at most, on average.
 CHUNK_BYTES = 16 << 20
 
-_MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
-def small_batches(spark: SparkSession, rows: int = 1000, mb: int = 4) -> None:
-    """Bound what one Arrow batch holds, by rows and by bytes: texts can be long."""
+def prepare(spark: SparkSession, rows: int = 1000, mb: int = 4) -> None:
+    """Bound what one Arrow batch holds, by rows and by bytes (texts can be long), and let workers import the package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
+    root = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(":") or context.applicationId in _shipped:
+        return
+    package = __name__.partition(".")[0]
+    scratch = tempfile.TemporaryDirectory()  # the driver's, removed at exit: executors get copies from the driver
+    with zipfile.ZipFile(f"{scratch.name}/{package}.zip", "w") as z:
+        for f in (root / package).rglob("*.py"):
+            z.write(f, f.relative_to(root))
+    context.addPyFile(f"{scratch.name}/{package}.zip")
+    _shipped[context.applicationId] = scratch
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -47,6 +61,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def chunks_for(docs: DataFrame, text: str, per_chunk: int = CHUNK_BYTES) -> int:
     """Number of chunks that hold ``per_chunk`` bytes of text each, at least one per shuffle partition."""
+    prepare(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(F.col(text)).cast("long"))).first()[0] or 0
     return max(shuffle_partitions(docs.sparkSession), -(-total // per_chunk))
 
@@ -87,6 +102,3 @@ def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
     """Bucket of each 64-bit hash, rising with the hash."""
     return (((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
-
-def table_rows(tables: Iterator[pa.Table] | pa.Table) -> pa.Table:
-    return tables if isinstance(tables, pa.Table) else pa.concat_tables(tables)

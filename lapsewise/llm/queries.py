@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_files
+from . import packing, substrings, token_files
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 35 words that occur more than once, removed from all documents."""
+    cleaned = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed pieces of all documents; no SQL (tokenizer): tested against a brute-force reading."""
@@ -38,3 +45,23 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written to the file format and read back; no SQL (tokenizer): tested as a round trip."""
     read = token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_ID)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+ORACLE["op5_substrings"] = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+p AS (
+  SELECT r, i, md5(array_to_string(words[i:i + 34], ' ')) AS h
+  FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM w)),
+d AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM p) WHERE n > 1),
+g AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM d),
+k AS (SELECT r, list(i) AS gone FROM g GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(
+         CASE WHEN gone IS NULL THEN words
+              ELSE list_transform(list_filter(range(1, len(words) + 1), lambda i: NOT list_contains(gone, i)), lambda i: words[i]) END,
+         ' ')) AS kept_sha256
+FROM w LEFT JOIN k USING (r)
+"""

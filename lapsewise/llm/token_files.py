@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import batches, materialise, shuffle_partitions, small_batches
+from .common import batches, materialise, shuffle_partitions, prepare
 from .tokens import token_ids
 
 #: Ids between two checkpoints; ids after which a block is closed; the longest code.
@@ -184,7 +184,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
 
 def read_token_files(spark: SparkSession, path: str, dtype: str = "<u2", max_bits: int = MAX_BITS) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)``: ``start`` counts the ids of all documents before it, ``ids`` is uint32 bytes."""
-    small_batches(spark, rows=16)
+    prepare(spark, rows=16)
     book = spark.read.parquet(f"{path}/codebook").collect()  # a row per vocabulary entry at most
     ids, bits = np.array([r["id"] for r in book], np.int64), np.array([r["bits"] for r in book], np.int64)
     max_bits = max(max_bits, int(bits.max(initial=1)))

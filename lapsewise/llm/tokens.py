@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, small_batches, utf8
+from .common import batches, prepare, utf8
 
 #: Pre-tokens and space-cut parts whose ids a worker keeps (two generations of this size at most).
 CACHE_PIECES, CACHE_PARTS = 1_000_000, 150_000
@@ -111,7 +111,7 @@ def id_type(path: str) -> str:
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
               dtype: str = "<u4") -> DataFrame:
     """``(doc_id, ids)``: each row's ids, the end id last, as little-endian bytes of ``dtype``."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
     end = np.array([end_id], dtype).tobytes()
 
