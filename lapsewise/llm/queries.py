@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, substrings, token_files
+from . import packing, simhash, substrings, token_files
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of all documents; no SQL (XXH64): tested against all pairs."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 35 words that occur more than once, removed from all documents."""
