@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, substrings, token_files
+from . import language_model, packing, simhash, substrings, token_files
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,6 +53,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of all documents under the counts of all documents."""
+    scored = language_model.score_documents(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", "n_backoff", F.round("log_score", 6).alias("log_score"),
+                         F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 ORACLE["op5_substrings"] = r"""
 WITH w AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -71,3 +79,23 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS
          ' ')) AS kept_sha256
 FROM w LEFT JOIN k USING (r)
 """
+
+ORACLE["op9_language_model"] = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+w AS (SELECT r, i, words[i] AS word, words[i - 1] AS before FROM (SELECT r, words, unnest(range(1, len(words) + 1)) AS i FROM t)),
+one AS (SELECT word, count(*) AS n FROM w GROUP BY word),
+two AS (SELECT before, word, count(*) AS n FROM w WHERE i > 1 GROUP BY before, word),
+s AS (
+  SELECT r, i > 1 AND two.n < 2 AS backed,
+         CASE WHEN i > 1 AND two.n >= 2 THEN ln(two.n) - ln(b.n)
+              ELSE ln(o.n) - ln((SELECT count(*) FROM w)) + CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END END AS score
+  FROM w JOIN one o ON o.word = w.word LEFT JOIN one b ON b.word = w.before
+         LEFT JOIN two ON two.before = w.before AND two.word = w.word AND w.i > 1),
+d AS (SELECT r, count(*) AS n, count(*) FILTER (backed) AS n_backoff, sum(score) AS log_score FROM s GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff,
+       round(coalesce(log_score, 0), 6) AS log_score, round(log_score / n, 6) AS mean_log_score
+FROM t LEFT JOIN d USING (r)
+"""
