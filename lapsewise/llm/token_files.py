@@ -205,11 +205,11 @@ def read_token_files(spark: SparkSession, path: str, dtype: str = "<u2", max_bit
                               schema)
 
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
-    # a row per shard: the shards are as many as the partitions that wrote them
+    # a row per shard, and the shards are as many as the partitions that wrote them: small enough to broadcast
     before = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
         "shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
     docs = blocks.mapInArrow(decode, "shard int, doc_id long, at long, n_tokens long, ids binary")
-    return docs.join(before, "shard").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids")
+    return docs.join(F.broadcast(before), "shard").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids")
 
 
 def token_files(docs: DataFrame, vocabulary: str, end_id: int, **columns: str) -> DataFrame:
