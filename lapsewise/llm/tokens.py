@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import batches, prepare, utf8
 
-#: Pre-tokens and space-cut parts whose ids a worker keeps (two generations of this size at most).
-CACHE_PIECES, CACHE_PARTS = 1_000_000, 150_000
+#: Words, and parts that hold more than a word, whose ids a worker keeps (two generations of this size at most).
+CACHE_WORDS, CACHE_PARTS = 500_000, 100_000
 
 # Characters whose pre-token class is the same in every regex engine and Unicode version.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -32,20 +32,24 @@ _SPACE_RUN = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
-class _Cache(dict):
-    """Ids of parts, filled on first use; keeps at most two generations of ``size`` parts."""
+class _Cache:
+    """Ids of parts in two generations of at most ``size`` parts each."""
 
-    def __init__(self, make, size: int):
-        self.make, self.size, self.old = make, size, {}
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
 
-    def __missing__(self, part: str) -> bytes:
-        ids = self.old.get(part)
+    def get(self, part: str) -> bytes | None:
+        ids = self.new.get(part)
         if ids is None:
-            ids = self.make(part)
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
-        self[part] = ids
+            ids = self.old.get(part)
+            if ids is not None:
+                self.new[part] = ids
+        return ids
+
+    def put(self, part: str, ids: bytes) -> bytes:
+        if len(self.new) >= self.size:
+            self.old, self.new = self.new, {}
+        self.new[part] = ids
         return ids
 
 
@@ -70,25 +74,45 @@ class Encoder:
         steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
         self.lower = any(n["type"] == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", []))
         drops_space = steps[0]["type"] == "Split"
-        space, digits, line = ("", "[0-9]", "") if drops_space else (" ?", "[0-9]+", "|\n")
-        solid = f"[{LETTERS}0-9{PUNCTUATION}]"
-        self.find = re.compile(f"{space}[{LETTERS}]+|{space}{digits}|{space}[{PUNCTUATION}]+{line}").findall
+        self.space, digits, line = ("", "[0-9]", "") if drops_space else (" ", "[0-9]+", "|\n")
+        gap, solid = " ?" if self.space else "", f"[{LETTERS}0-9{PUNCTUATION}]"
+        self.find = re.compile(f"{gap}[{LETTERS}]+|{gap}{digits}|{gap}[{PUNCTUATION}]+{line}").findall
         self.plain = re.compile(f" ?{solid}+(?:\n{solid}+)*").fullmatch
+        self.is_word = re.compile(f"[{LETTERS}]+").fullmatch
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
         self.inner = Tokenizer.from_file(path)
         self.inner.encode_special_tokens = True
         self.inner.normalizer = normalizers.Sequence([])
         self.inner.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces = _Cache(lambda x: array(self.code, self.inner.encode(x, add_special_tokens=False).ids).tobytes(),
-                             CACHE_PIECES)
-        self.after_space = _Cache(lambda x: self._part(" " + x), CACHE_PARTS)
-
-    def _part(self, part: str) -> bytes:
-        if self.plain(part):
-            pieces = self.pieces
-            return b"".join([pieces[x] for x in self.find(part.lower() if self.lower else part)])
-        return array(self.code, self.whole.encode(part, add_special_tokens=False).ids).tobytes()
+        self.words, self.parts = _Cache(CACHE_WORDS), _Cache(CACHE_PARTS)
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one pre-token."""
+        ids = self.inner.encode(piece.lower() if self.lower else piece, add_special_tokens=False).ids
+        return array(self.code, ids).tobytes()
+
+    def _whole(self, part: str) -> bytes:
+        """Ids of a text that is cut before a space or at its ends."""
+        if not self.plain(part):
+            return array(self.code, self.whole.encode(part, add_special_tokens=False).ids).tobytes()
+        out, skip = [], len(self.space)
+        for x in self.find(part):
+            if x.startswith(self.space) and self.is_word(x, skip):
+                out.append(self.words.get(x[skip:]) or self.words.put(x[skip:], self._piece(x)))
+            else:
+                out.append(self.parts.get(x) or self.parts.put(x, self._piece(x)))
+        return b"".join(out)
+
+    def _after_space(self, rest: str) -> bytes:
+        """Ids of a space and ``rest``, which holds none at its start."""
+        part = " " + rest
+        ids = self.parts.get(part)
+        if ids is None:
+            if self.is_word(rest):
+                return self.words.get(rest) or self.words.put(rest, self._piece(self.space + rest))
+            ids = self.parts.put(part, self._whole(part))
+        return ids
 
     def encode(self, text: str) -> bytes:
         if _SPACE_RUN.search(text):
@@ -96,9 +120,9 @@ class Encoder:
             rest = [x[1:] for x in rest]
         else:
             first, *rest = text.split(" ")
-        after_space = self.after_space
-        ids = b"".join([after_space[x] for x in rest])
-        return self._part(first) + ids if first else ids
+        known, other = self.words.new.get, self._after_space
+        ids = b"".join([known(x) or other(x) for x in rest])
+        return self._whole(first) + ids if first else ids
 
 
 def id_type(path: str) -> str:
