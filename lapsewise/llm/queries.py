@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_model, packing, simhash, substrings, token_files
+from . import language_model, packing, quality, simhash, substrings, token_files, toxicity
+from .labelled import fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; no SQL (model): tested by held-out accuracy."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.toxic_scores(docs, labels, fold("doc_id", 5) != 0)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of all documents; no SQL (XXH64): tested against all pairs."""
@@ -53,6 +62,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; no SQL (model): tested by held-out accuracy."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.quality_scores(docs, labels, fold("doc_id", 3) != 1)
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stupid-backoff scores of all documents under the counts of all documents."""
