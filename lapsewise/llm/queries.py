@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_model, packing, quality, simhash, substrings, token_files, toxicity
+from . import chat, language_model, neighbours, packing, quality, simhash, substrings, token_files, toxicity
 from .labelled import fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one made of control strings, formatted and read back."""
+    odd = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.createDataFrame(
+        [(-1, 0, "user", odd), (-1, 1, "assistant", odd)], "conv_id long, turn long, role string, text string"))
+    return chat.read_back(chat.format_conversations(rows))
+
+
 @query
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 35 words that occur more than once, removed from all documents."""
@@ -78,6 +87,12 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
+@query
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest rows of every hundredth vector; approximate, so tested against brute force instead of SQL."""
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 ORACLE["op5_substrings"] = r"""
 WITH w AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -116,3 +131,21 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS
        round(coalesce(log_score, 0), 6) AS log_score, round(log_score / n, 6) AS mean_log_score
 FROM t LEFT JOIN d USING (r)
 """
+
+ORACLE["op4_chat"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
+           '\\', '\\\\', 'g'), '<(/?s>)', '<\\\1', 'g'), '\[(/?INST\])', '[\\\1', 'g'),
+           '<\|', '<\\|', 'g'), '<(</?SYS>>)', '<\\\1', 'g') AS escaped
+  FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<s>') + length(role) + 1 + length(escaped) + length('</s>') + 1)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
