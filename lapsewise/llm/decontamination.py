@@ -88,15 +88,20 @@ def _similarity(a: str, b: str) -> Column:
     return shared / (F.size(x) + F.size(y) - shared)
 
 
+def _row(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 similarity: float = SIMILARITY) -> DataFrame:
+                 similarity: float = SIMILARITY, by_row: bool = False) -> DataFrame:
     """``(doc_id, item_id, similarity, distance, start, size)``: each document and item of which a window reaches
     ``similarity``, with its most similar window (the first of equals): first word and word count.
 
     Benchmark rows are ``(item_id, text)``.  Null and empty texts and items
     match nothing; an item of fewer words than a shingle, or of more words than
     the document, is compared with documents as a whole; a null id is reported
-    as null; repeated rows give one result; no rows give no rows.
+    as null; repeated rows give one result; no rows give no rows.  ``by_row``
+    returns only ``row``, the hash of id and text of every contaminated row.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _shingled("text").alias("x")) \
         .select("item_id", F.col("x.n").alias("size"), F.col("x.s").alias("item")).where("size > 0").distinct()
@@ -105,7 +110,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     known = items.select("size", F.explode("item").alias("h")).groupBy("h").agg(F.collect_set("size").alias("sizes"))
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                        F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("row"))
+                        _row(id_col, text_col).alias("row"))
     places = texts.select("row", F.posexplode(_shingled("text").getField("s")).alias("at", "h")).join(known, "h")
     hits = materialise(places.select("row", "at", F.explode("sizes").alias("size")).groupBy("row", "size")
                        .agg(F.sort_array(F.collect_set("at")).alias("at")), "hits")
@@ -127,15 +132,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         .select("row", "item_id", "size", "start", F.bit_count(x).alias("distance"))
 
     checked = near.join(shingled, "row").withColumn("window", F.slice("s", F.col("start") + 1, m)) \
-        .select("doc_id", "item_id", "size", "start", "distance", "window") \
+        .select("row", "doc_id", "item_id", "size", "start", "distance", "window") \
         .join(items.select("item_id", "size", "item"), ["item_id", "size"]).withColumn("similarity", _similarity("window", "item")) \
         .where(F.col("similarity") >= similarity)
+    if by_row:
+        return checked.select("row").distinct()
     best = checked.groupBy("doc_id", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("back"), (-F.col("distance")).alias("near"), "size")).alias("b"))
     return best.select("doc_id", "item_id", "b.similarity", (-F.col("b.near")).alias("distance"), (-F.col("b.back")).alias("start"), "b.size")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows of contaminated documents."""
-    found = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("__leak")), "left_anti")
+    """``docs`` without the rows that ``contaminated`` finds; all columns, null ids included."""
+    found = contaminated(docs, benchmark, id_col, text_col, by_row=True)
+    return docs.join(found.withColumnRenamed("row", "__row"), _row(id_col, text_col) == F.col("__row"), "left_anti")

@@ -135,9 +135,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: that of its smallest id (one of its rows, if the id repeats)."""
-    found = near_duplicates(docs, id_col, text_col, shingle)
-    keep = found.where("doc_id = component_id or doc_id is null and component_id is null").select(F.col("doc_id").alias("__keep")).distinct()
-    one = docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("__keep")), "left_semi")
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))
-    return one.withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
+    """``docs`` with one row of each component, one of its smallest id.
+
+    Rows that repeat an id count as one document: one of them stays, the first
+    by a hash of all columns.  Rows of null id, which no component can name,
+    stay.
+    """
+    found = near_duplicates(docs, id_col, text_col, shingle).where("doc_id is not null")
+    ids = materialise(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("c"))
+                      .where("n > 1 or doc_id <> c").select(F.col("doc_id").alias("__id"), F.col("n").alias("__n"), F.col("c").alias("__c")), "extra")
+    same = F.col(id_col).cast("long") == F.col("__id")
+    single = docs.join(ids, same, "left_anti")
+    again = docs.join(ids.where("__n > 1 and __id = __c"), same, "left_semi")
+    first = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns)))
+    return single.unionByName(again.withColumn("__place", first).where("__place = 1").drop("__place"))

@@ -176,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, id_col:
     model.weights = np.array([0.0, 0.0, 0.0, prior])
     y = np.array([r["y"] for r in rest])
     if len(set(y.tolist())) == 2:
-        x = np.array([[r["f0"], r["f1"], r["f2"], 1.0] for r in rest])
+        x = np.array([[r["__f0"], r["__f1"], r["__f2"], 1.0] for r in rest])
         weight = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum())
         model.weights = _fit(x, y, weight * len(y) / weight.sum())
     return model
@@ -191,10 +191,18 @@ def featured(rows: DataFrame, model: Model) -> DataFrame:
         for b in tables:
             f = [shared.value.features(t) for t in b.column(len(kept)).to_pylist()]
             columns = [b.column(i) for i in range(len(kept))] + [pa.array([x[i] for x in f], pa.float64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "f0", "f1", "f2"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "__f0", "__f1", "__f2"])
 
     types = dict(rows.dtypes)
-    return rows.mapInArrow(score, ", ".join(f"`{k}` {types[k]}" for k in kept) + ", f0 double, f1 double, f2 double")
+    return rows.mapInArrow(score, ", ".join(f"`{k}` {types[k]}" for k in kept) + ", __f0 double, __f1 double, __f2 double")
+
+
+def scored(rows: DataFrame, model: Model) -> DataFrame:
+    """Every column of ``rows`` but the last, ``text`` (binary), and its ``__score``."""
+    found = featured(rows, model)
+    z = sum((F.col(f"__f{i}") * float(w) for i, w in enumerate(model.weights[:3])), F.lit(float(model.weights[3])))
+    score = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
+    return found.withColumn("__score", score).drop("__f0", "__f1", "__f2")
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,11 +212,17 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     text of any length is read whole; repeated rows score alike; no rows give
     no rows.
     """
-    rows = featured(docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text")), model)
-    z = sum((F.col(f"f{i}") * float(w) for i, w in enumerate(model.weights[:3])), F.lit(float(model.weights[3])))
-    score = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
-    return rows.select("doc_id", score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    rows = scored(docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text")), model)
+    return rows.select("doc_id", F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
 
 
 def toxic_scores(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", **columns: str) -> DataFrame:
     return score_documents(docs, train(docs, labels, label, learn, **columns), **columns)
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that score 0.5 or more; all columns as they were."""
+    model = train(docs, labels, label, learn, id_col, text_col)
+    rows = scored(docs.withColumn("__utf8", utf8(text_col)), model)
+    return rows.where("__score < 0.5").select(*docs.columns)
