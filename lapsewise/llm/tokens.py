@@ -4,13 +4,12 @@ Byte-pair encoding works inside pre-tokens, so a text may be cut between
 pre-tokens and the parts encoded alone.  Texts are cut before every space that
 follows a non-space; each distinct part is encoded once per worker and kept in
 a bounded cache.  Parts made of plain letters, digits and common punctuation
-are cut into pre-tokens here and handed to the library without its regex step;
-all others go through the library's whole pipeline.
+are cut into pre-tokens here and handed to the library's byte-pair model; all
+others go through the library's whole pipeline.
 """
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from array import array
@@ -23,11 +22,13 @@ from pyspark.sql import functions as F
 from .common import batches, prepare, utf8
 
 #: Words, and parts that hold more than a word, whose ids a worker keeps (two generations of this size at most).
-CACHE_WORDS, CACHE_PARTS = 500_000, 100_000
+CACHE_WORDS, CACHE_PARTS = 300_000, 60_000
 
 # Characters whose pre-token class is the same in every regex engine and Unicode version.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PUNCTUATION = ".,;:!?|%&$*#@()\\-/"
+#: Byte-level alphabet: printable bytes stand for themselves, the others, in order, for the characters from 256 on.
+BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
 _SPACE_RUN = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -66,31 +67,25 @@ class Encoder:
 
     def __init__(self, path: str, dtype: str = "<u4"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.code = {"<u2": "H", "<u4": "I"}[dtype]
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
-        self.lower = any(n["type"] == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", []))
-        drops_space = steps[0]["type"] == "Split"
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        self.model = self.whole.model
+        self.lower = "Lowercase" in repr(self.whole.normalizer)
+        drops_space = "Split(" in repr(self.whole.pre_tokenizer)
         self.space, digits, line = ("", "[0-9]", "") if drops_space else (" ", "[0-9]+", "|\n")
         gap, solid = " ?" if self.space else "", f"[{LETTERS}0-9{PUNCTUATION}]"
         self.find = re.compile(f"{gap}[{LETTERS}]+|{gap}{digits}|{gap}[{PUNCTUATION}]+{line}").findall
         self.plain = re.compile(f" ?{solid}+(?:\n{solid}+)*").fullmatch
         self.is_word = re.compile(f"[{LETTERS}]+").fullmatch
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        self.inner = Tokenizer.from_file(path)
-        self.inner.encode_special_tokens = True
-        self.inner.normalizer = normalizers.Sequence([])
-        self.inner.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words, self.parts = _Cache(CACHE_WORDS), _Cache(CACHE_PARTS)
 
     def _piece(self, piece: str) -> bytes:
-        """Ids of one pre-token."""
-        ids = self.inner.encode(piece.lower() if self.lower else piece, add_special_tokens=False).ids
-        return array(self.code, ids).tobytes()
+        """Ids of one pre-token, its bytes spelled in the byte-level alphabet."""
+        spelled = (piece.lower() if self.lower else piece).encode().decode("latin-1").translate(BYTE_LEVEL)
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _whole(self, part: str) -> bytes:
         """Ids of a text that is cut before a space or at its ends."""
