@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -22,6 +25,29 @@ _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
+_caches: dict[str, object] = {}
+_owner = ""
+
+
+def claim(owner: str, cache=None) -> None:
+    """In a worker: drop what other operators keep there, for workers outlive stages.
+
+    ``cache`` (anything with ``clear``) is what ``owner`` keeps itself.
+    """
+    global _owner
+    if cache is not None:
+        _caches[owner] = cache
+    if owner != _owner:
+        for name, other in _caches.items():
+            if name != owner:
+                other.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # glibc only: give freed pages back
+            ctypes.CDLL(None).malloc_trim(0)
+        _owner = owner
+
+
 def prepare(spark: SparkSession, rows: int = 1000, mb: int = 4) -> None:
     """Bound what one Arrow batch holds, by rows and by bytes (texts can be long), and let workers import the package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, materialise, prepare, utf8
+from .common import batches, claim, materialise, prepare, utf8
 from .components import components
 from .words import split
 
@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = pa.schema([("doc_id", pa.int64()), ("f", pa.int64())])
 
     def score(tables):
+        claim("simhash")
         for b in tables:
             f = np.array([fingerprint(x, shingle) for x in b.column(1).to_pylist()], np.uint64).view(np.int64)
             yield batches({"doc_id": b.column(0), "f": f}, schema)

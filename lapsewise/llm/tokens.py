@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, prepare, utf8
+from .common import batches, claim, prepare, utf8
 
 #: Words, and parts that hold more than a word, whose ids a worker keeps (two generations of this size at most).
 CACHE_WORDS, CACHE_PARTS = 300_000, 60_000
@@ -61,7 +61,9 @@ class Encoder:
 
     @classmethod
     def of(cls, path: str, dtype: str) -> Encoder:
+        claim("tokens", cls._open)
         if (path, dtype) not in cls._open:
+            cls._open.clear()
             cls._open[path, dtype] = cls(path, dtype)
         return cls._open[path, dtype]
 

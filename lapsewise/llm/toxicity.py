@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, materialise, prepare, utf8
+from .common import batches, claim, materialise, prepare, utf8
 from .labelled import sample
 
 #: Documents of a class that the models learn from; n-grams that a model holds; longest n-gram; discount.
@@ -105,6 +105,9 @@ class Model:
         return out
 
     def features(self, text: bytes) -> tuple[float, float, float, float]:
+        if self.name not in _evidence:
+            claim("toxicity", _evidence)
+            _evidence.clear()
         known = _evidence.setdefault(self.name, {})
         if len(known) > CACHE_WORDS:
             known.clear()

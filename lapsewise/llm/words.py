@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from .common import claim
+
 _digest = xxhash.xxh3_64_intdigest
 
 
@@ -17,6 +19,7 @@ class Words:
     """``h``: a 64-bit hash per word; ``pos``: its number in its document; ``left``: words from it to the document's end."""
 
     def __init__(self, texts: list[bytes]):
+        claim("words")
         parts, lengths = [], []
         for text in texts:
             words = split(text)
