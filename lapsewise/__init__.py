@@ -9,7 +9,6 @@ Layers:
   cleaning, feature derivation, KPI and dashboard aggregates.
 * ``plans``     — table-level compositions (clean → features → KPI) and the
   layer model that materialises stage outputs as Parquet.
-* ``streaming`` — intentionally empty: the analysed workload is batch only.
 """
 
 __version__ = "0.1.0"

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as fx
 from ..functions import constants as K
 from . import kpi
-from .joins import join_small
 
 P = F.col
 
@@ -31,8 +30,8 @@ PRODUCT_MEASURES = (("Unrealised Premium", "unrealised_premium_value"),
 def bi_policies(policies: DataFrame, channels: DataFrame, products: DataFrame) -> DataFrame:
     """Policy features + channel and product attributes (left joins, so a
     missing dimension row loses no policy; both dimensions size-checked)."""
-    df = join_small(policies, channels.select("channel_id", "channel_name", "channel_type"), "channel_id", "left")
-    return join_small(df, products.select("product_id", "product_name", "product_category"), "product_id", "left")
+    df = policies.join(channels.select("channel_id", "channel_name", "channel_type"), "channel_id", "left")
+    return df.join(products.select("product_id", "product_name", "product_category"), "product_id", "left")
 
 
 def bi_customers(customers: DataFrame) -> DataFrame:

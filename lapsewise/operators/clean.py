@@ -5,17 +5,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag as _flag
 from ..functions.columns import initcap_trim
-from .joins import join_small, null_safe_on
+from .joins import null_safe_on
 
-# percentile_approx accuracy for group medians.  The sketch answers exactly
-# while a group has fewer values than this, and keeps a relative rank error of
-# 1/accuracy (bounded memory per group) beyond it.
-MEDIAN_ACCURACY = 1_000_000
+# A group's quantile sketch, of rank error 1 / SKETCH_ACCURACY, brackets its
+# median between these two quantiles; the exact rank is then found inside.
+SKETCH_ACCURACY = 10_000
+BRACKET = (0.499, 0.501)
 
 
 def standardise_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:
@@ -27,34 +27,55 @@ def _fill_from_groups(df: DataFrame, col: str, by: str, groups: DataFrame, fallb
     """Join a one-row-per-group fill value back (null group keys match each
     other, as in a window partition) and coalesce it into ``col``."""
     groups = groups.withColumnRenamed(by, "__by")
-    joined = join_small(df, groups, null_safe_on(by, "__by"), "left")
+    joined = df.join(groups, null_safe_on(by, "__by"), "left")
     dtype = df.schema[col].dataType
     parts = [F.col(col), F.col("__fill")] + ([fallback] if fallback is not None else [])
     return joined.withColumn(col, F.coalesce(*parts).cast(dtype)).drop("__by", "__fill")
 
 
-def impute_group_median(df: DataFrame, col: str, by: str, accuracy: int = MEDIAN_ACCURACY,
-                        global_fallback: bool = False) -> DataFrame:
-    """Fill nulls of ``col`` with the approximate median of its ``by`` group.
+def group_median(df: DataFrame, col: str, by: str) -> DataFrame:
+    """``(by, __fill)``, the value of rank ceil(n / 2) among the
+    non-null values of each group — exact at every size.
 
-    The median is a grouped ``percentile_approx`` (partial aggregation, bounded
-    sketch per group) joined back, not an unordered window — a window would
-    send every row of a group to one task.
+    Two aggregates, both combined map-side: a sketch per group that brackets
+    the median, then the count below the bracket and the counts of the values
+    inside it.  Only the bracket's distinct values, about 0.2 % of the ranks of
+    a group, are ordered together.
     """
-    med = df.groupBy(by).agg(F.percentile_approx(col, 0.5, accuracy).alias("__fill"))
-    fallback = None
+    known = df.select(by, col).where(F.col(col).isNotNull())
+    brackets = known.groupBy(by).agg(
+        F.count(F.lit(1)).alias("__n"), F.percentile_approx(col, list(BRACKET), SKETCH_ACCURACY).alias("__q"))
+    brackets = brackets.select(F.col(by).alias("__by"), "__n", F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi"))
+    inside = (known.join(brackets, null_safe_on(by, "__by")).where(F.col(col) <= F.col("__hi"))
+              .groupBy(by, "__n", F.when(F.col(col) >= F.col("__lo"), F.col(col)).alias("__v"))
+              .agg(F.count(F.lit(1)).alias("__c")))
+    # the values below the bracket are one row, which sorts first as null
+    seen = F.sum("__c").over(Window.partitionBy(by).orderBy(F.col("__v").asc_nulls_first()))
+    return (inside.withColumn("__seen", seen).where((2 * F.col("__seen") >= F.col("__n")) & F.col("__v").isNotNull())
+            .groupBy(by).agg(F.min("__v").alias("__fill")))
+
+
+def impute_group_median(df: DataFrame, col: str, by: str, global_fallback: bool = False) -> DataFrame:
+    """Fill nulls of ``col`` with the median of its ``by`` group, and with
+    the whole table's where a group has none and ``global_fallback`` is set."""
+    filled = _fill_from_groups(df, col, by, group_median(df, col, by))
     if global_fallback:
-        # one scalar for the whole table (a single small row to the driver)
-        overall = df.agg(F.percentile_approx(col, 0.5, accuracy)).first()[0]
-        fallback = None if overall is None else F.lit(overall)
-    return _fill_from_groups(df, col, by, med, fallback)
+        whole = filled.withColumn("__all", F.lit(0))
+        filled = _fill_from_groups(whole, col, "__all", group_median(df.withColumn("__all", F.lit(0)), col, "__all")).drop("__all")
+    return filled
+
+
+def group_mode(df: DataFrame, col: str, by: str) -> DataFrame:
+    """``(by, __fill)``, the most frequent non-null value of each
+    group (ties → lowest): counts per (group, value), then one ``min_by``."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(by, col).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.groupBy(by).agg(F.min_by(col, F.struct(-F.col("__n"), F.col(col))).alias("__fill"))
 
 
 def impute_group_mode(df: DataFrame, col: str, by: str, default=None) -> DataFrame:
     """Fill nulls with the most frequent value of the group (ties → lowest
     value), then with ``default``."""
-    modes = df.groupBy(by).agg(F.mode(col, True).alias("__fill"))
-    return _fill_from_groups(df, col, by, modes, None if default is None else F.lit(default))
+    return _fill_from_groups(df, col, by, group_mode(df, col, by), None if default is None else F.lit(default))
 
 
 def impute_const(df: DataFrame, values: dict) -> DataFrame:
@@ -88,19 +109,16 @@ def drop_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str
     return child.join(keys, key, "left_semi")
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """One row per key.
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key, the one smallest in ``order`` and then in all its
+    other columns, so the survivor never depends on the input's layout.
 
-    Without ``order`` the survivor is arbitrary (``dropDuplicates``).  With
-    ``order`` the survivor is the row with the smallest order tuple, chosen by
-    a ``min_by`` aggregate — partial aggregation, so a key holding a large
-    share of the rows is combined map-side instead of landing in one task.
+    Chosen by a ``min_by`` aggregate — partial aggregation, so a key holding a
+    large share of the rows is combined map-side instead of landing in one task.
     """
-    if not order:
-        return df.dropDuplicates(list(keys))
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
+    ranked = [*order, *[c for c in rest if c not in order]]
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*ranked)).alias("__row"))
     return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
 
 

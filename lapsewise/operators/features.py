@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fx
 from ..functions import constants as K
-from .joins import join_small
 
 MONEY = "decimal(22,2)"
 
@@ -26,7 +25,7 @@ def event_summary(events: DataFrame, dates: DataFrame, key: str = "policy_id") -
     on a date missing from the calendar counts as no date) and whether any
     event went in_grace → lapsed."""
     cal = dates.select("date_id", F.col("date").alias("__event_date"))
-    ev = join_small(events.select(key, "date_id", "previous_status", "current_status"), cal, "date_id", "left")
+    ev = events.select(key, "date_id", "previous_status", "current_status").join(cal, "date_id", "left")
     lapsed = F.col("current_status") == K.LAPSED
     after_grace = fx.flag((F.col("previous_status") == K.IN_GRACE) & lapsed)
     return ev.groupBy(key).agg(
@@ -46,7 +45,7 @@ def payment_days(payments: DataFrame, dates: DataFrame, key: str = "policy_id")
     map-side first instead of becoming one huge sorted partition.
     """
     cal = dates.select("date_id", F.col("date").alias("__day"))
-    p = join_small(payments.select(key, "date_id", "premium_amount", "is_invalid_amount"), cal, "date_id", "left")
+    p = payments.select(key, "date_id", "premium_amount", "is_invalid_amount").join(cal, "date_id", "left")
     valid_amount = F.when(~F.col("is_invalid_amount"), F.col("premium_amount"))
     per_day = p.groupBy(key, "__day").agg(F.count(F.lit(1)).alias("__n"), F.sum(valid_amount).alias("__amt"))
     w = Window.partitionBy(key).orderBy("__day")
@@ -98,7 +97,7 @@ def gap_rows(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> D
     """E16 as rows: every payment with the gap to the previous one (the form
     the workload writes, ``lag`` over the policy's payments)."""
     cal = dates.select("date_id", F.col("date").alias("payment_date"))
-    p = join_small(payments, cal, "date_id", "inner")
+    p = payments.join(cal, "date_id", "inner")
     w = Window.partitionBy(key).orderBy("payment_date")
     return p.withColumn("payment_gap_days", F.datediff("payment_date", F.lag("payment_date").over(w)))
 

@@ -1,42 +1,11 @@
-"""Join helpers.
-
-``join_small`` broadcasts a side only after measuring it: the small side is
-persisted, counted, and hinted for broadcast when it is within ``max_rows``;
-beyond that bound the join is left to a shuffle join (sort-merge, with AQE
-skew splitting).  Dimension lookups and group-level aggregates (a median per
-channel, a mode per occupation) go through it, so a group key that turns out
-to have millions of values does not take the driver down.
-"""
+"""Join helpers.  Lookups are plain joins: Spark and AQE broadcast a side by
+its measured bytes, and otherwise shuffle and split skewed keys."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-_PERSISTED: list[DataFrame] = []
-
-
-def checked_small(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(small)
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
-def release_checked() -> None:
-    """Drop the cached small sides once the plans using them are written
-    (a later use simply recomputes them)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-
-
-def join_small(big: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "left",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return big.join(checked_small(small, max_rows), on, how)
-
 
 def null_safe_on(left_col: str, right_col: str) -> Column:
     return F.col(left_col).eqNullSafe(F.col(right_col))

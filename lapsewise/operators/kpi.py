@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fx
 from ..functions import constants as K
-from .joins import join_small
 
 P = F.col
 
@@ -87,13 +86,13 @@ def renewed_policy_ids(events: DataFrame) -> DataFrame:
 
 def policy_renewal_rate(policies: DataFrame, events: DataFrame, as_of: dt.date) -> DataFrame:
     """K3: renewed share of the renewal-eligible policies (expired by the as-of
-    date, still active/matured/claimed); null when none is eligible.  The
-    renewed ids are de-duplicated before the join, so the two distinct counts
-    of the workload become plain conditional counts."""
+    date, still active/matured/claimed); null when none is eligible.  Both
+    sides are de-duplicated before the join, so the two distinct counts of the
+    workload become plain conditional counts."""
     eligible = policies.filter((P("expiry_date") <= fx.date_lit(as_of))
                                & fx.in_set("latest_status", K.RENEWAL_ELIGIBLE_STATUSES))
     renewed = renewed_policy_ids(events).withColumn("__renewed", F.lit(True))
-    j = eligible.select("policy_id").join(renewed, "policy_id", "left")
+    j = eligible.select("policy_id").distinct().join(renewed, "policy_id", "left")
     return j.agg(fx.rate(fx.count_where(P("__renewed")), F.count("policy_id")).alias("policy_renewal_rate"))
 
 
@@ -247,7 +246,7 @@ def lapse_after_grace_cols(denom: str = "policies") -> list[Column]:
 
 def lapse_by_category(policies: DataFrame, products: DataFrame) -> DataFrame:
     """K34 by the real product category (products is a small dimension)."""
-    j = join_small(policies.select("policy_id", "product_id", "latest_status"),
+    j = policies.select("policy_id", "product_id", "latest_status").join(
                    products.select("product_id", "product_category"), "product_id", "left")
     return lapse_by(j, "product_category", "lapse_rate_by_category")
 

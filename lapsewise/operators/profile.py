@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
 from ..functions import columns as fx
 
@@ -43,6 +43,17 @@ def value_counts(df: DataFrame, col: str, sort: bool = False) -> DataFrame:
     return out.orderBy(col) if sort else out
 
 
+def value_counts_of(tables: dict[str, DataFrame], columns: dict[str, Sequence[str]]) -> DataFrame:
+    """P6 over many columns: ``(table_name, column_name, value, n)``.  The
+    columns of a table are unpivoted as text, so each table is scanned once."""
+    parts = []
+    for name, cols in columns.items():
+        texts = tables[name].select(*[F.col(c).cast("string").alias(c) for c in cols])
+        parts.append(texts.unpivot([], list(cols), "column_name", "value").groupBy("column_name", "value")
+                     .agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "column_name", "value", "n"))
+    return union_all(parts)
+
+
 def describe(df: DataFrame, name: str, cols: Sequence[str], scale: int = 2) -> DataFrame:
     """Count, mean, stddev, min, max per numeric column, as DOUBLE, all
     columns in one aggregate.  The mean is exact half-up to ``scale``
@@ -50,9 +61,10 @@ def describe(df: DataFrame, name: str, cols: Sequence[str], scale: int = 2) -> D
     aggs, rows = [], []
     for i, c in enumerate(cols):
         x = F.col(c)
-        scaled = (x * (10**scale)).cast("decimal(38,0)")
+        places = max(scale, df.schema[c].dataType.scale if isinstance(df.schema[c].dataType, DecimalType) else scale)
+        scaled = (x * (10**places)).cast("decimal(38,0)")  # every decimal of the column; rounded once, below
         aggs += [F.count(x).alias(f"n{i}"),
-                 fx.round_ratio(F.sum(scaled), F.count(x) * (10**scale), scale).alias(f"mean{i}"),
+                 fx.round_ratio(F.sum(scaled), F.count(x) * (10**places), scale).alias(f"mean{i}"),
                  F.round(F.stddev_samp(x.cast("double")), scale).alias(f"sd{i}"),
                  F.min(x).cast("double").alias(f"min{i}"), F.max(x).cast("double").alias(f"max{i}")]
         rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), F.col(f"mean{i}").alias("mean"),
@@ -84,10 +96,12 @@ def flag_mismatch(df: DataFrame, name: str, flags: dict[str, Column]) -> DataFra
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str, child_name: str, parent_name: str,
                 parent_key: str | None = None) -> DataFrame:
     """Child rows whose key is missing in the parent (left anti join) —
-    row count and distinct keys."""
+    row count and distinct keys.  Rows are counted per key first, so a hot key
+    enters the join as one row."""
     parent_key = parent_key or key
-    ghosts = child.select(key).join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
-    return ghosts.agg(F.count(F.lit(1)).alias("n_orphan_rows"), F.count_distinct(key).alias("n_orphan_keys")).select(
+    counts = child.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    ghosts = counts.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
+    return ghosts.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n_orphan_rows"), F.count(key).alias("n_orphan_keys")).select(
         F.lit(child_name).alias("child_table"), F.lit(parent_name).alias("parent_table"), F.lit(key).alias("key_column"),
         "n_orphan_rows", "n_orphan_keys")
 

@@ -77,13 +77,16 @@ PAYMENT_ORDER = ["l_partkey", "l_suppkey", "l_shipdate"]
 
 
 def clean_payments(payments: DataFrame, policies: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """One row per key first: its exchange spreads a policy with many payments,
+    and the orphan join comes last, where AQE may split what is left of it
+    (the policy is part of the key, so the order changes no result)."""
     order = PAYMENT_ORDER if order is None else order
     df = C.cast_flags(payments, ["is_missed", "is_in_grace_period"])
     df = df.withColumnRenamed("is_missed", "is_missed_premium")
-    df = C.drop_orphans(df, policies, "policy_id")
-    df = C.dedupe(df, PAYMENT_KEY, order=[c for c in order if c in df.columns] or None)
+    df = C.dedupe(df, PAYMENT_KEY, order=[c for c in order if c in df.columns])
     df = df.drop(*[c for c in PAYMENT_ORDER if c in df.columns])
-    return C.add_flags(df, {"is_invalid_amount": F.col("premium_amount") < 0})
+    df = C.add_flags(df, {"is_invalid_amount": F.col("premium_amount") < 0})
+    return C.drop_orphans(df, policies, "policy_id")
 
 
 def clean_all(raw: dict[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:

@@ -18,7 +18,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import constants as K
-from ..operators.joins import release_checked
 from ..session import shared_dir
 from ..sources import adapter
 from ..sources.io import read_layer, write_layer
@@ -118,7 +117,6 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
     pf = stage("features/policies", build_policy_features(t["policies"], t["premium_payments"],
                                                           t["policy_events"], t["dates"], as_of))
     cf = stage("features/customers", build_customer_features(t["customers"], pf, t["policy_events"]))
-    release_checked()
     return Model(spark, {**t, "policy_features": pf, "customer_features": cf}, as_of, timings)
 
 
@@ -163,7 +161,6 @@ def materialize_raw(spark: SparkSession, sf_dir: str, landed: tuple[str, ...] =
             for name in landed:
                 write_layer(tables[name], root, name)
                 tables[name] = read_layer(spark, root, name)
-            release_checked()
             _RAW[key] = tables
         return tables
 

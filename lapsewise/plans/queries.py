@@ -67,7 +67,7 @@ def profile_shape(spark, sf_dir):
 @query
 def null_counts(spark, sf_dir):
     t = raw(spark, sf_dir)
-    return PR.union_all([PR.null_counts(t[n], n) for n in ("customers", "policies", "agents", "policy_events")])
+    return PR.union_all([PR.null_counts(t[n], n) for n in t])
 
 
 @query
@@ -76,14 +76,31 @@ def duplicate_count(spark, sf_dir):
     return PR.union_all([PR.duplicate_count(t[n], n, keys) for n, keys in RAW_KEYS])
 
 
+VALUE_COUNT_COLUMNS = {
+    "customers": ["customer_gender", "customer_occupation", "customer_income_bracket", "customer_city"],
+    "policies": ["latest_status", "policy_tenure", "product_id", "channel_id", "is_current", "total_time_in_grace"],
+    "agents": ["agent_city", "agent_region", "channel_id"],
+    "policy_events": ["current_status", "previous_status", "is_renewed"],
+    "premium_payments": ["payment_status", "is_missed", "is_in_grace_period"],
+    "dates": ["is_weekday"],
+}
+FEATURE_COUNT_COLUMNS = {
+    "policy_features": ["tenure_bucket", "premium_bucket", "payment_frequency", "is_early_defaulted",
+                        "is_lapsed_after_grace", "is_acquisition_at_risk", "is_negative_unrealised"],
+    "customer_features": ["age_bucket", "customer_latest_status", "is_renewed_customer"],
+}
+
+
 @query
 def value_counts_status(spark, sf_dir):
     t = raw(spark, sf_dir)
-    parts = [PR.value_counts(t[tab], c).select(F.lit(tab).alias("table_name"), F.lit(c).alias("column_name"),
-                                               P(c).alias("value"), "n")
-             for tab, c in (("policies", "latest_status"), ("policies", "policy_tenure"),
-                            ("policy_events", "current_status"), ("premium_payments", "payment_status"))]
-    return PR.union_all([p.withColumn("value", P("value").cast("string")) for p in parts])
+    return PR.value_counts_of(t, VALUE_COUNT_COLUMNS)
+
+
+@query
+def value_counts_features(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return PR.value_counts_of({"policy_features": m.policies, "customer_features": m.customers}, FEATURE_COUNT_COLUMNS)
 
 
 @query
@@ -129,6 +146,7 @@ def exploration_rules(t):
             "future_issue_date": p("issue_date") > fx.date_lit(AS_OF),
             "inverted_date_range": p("issue_date") > p("expiry_date")}),
         ("premium_payments", pay, {"negative_amount": p("premium_amount") < 0}),
+        ("dates", t["dates"], {"future_date": p("date") > fx.date_lit(AS_OF)}),
     ]
 
 

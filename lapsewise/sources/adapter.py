@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..operators.ordering import previous_in_order
 from ..functions.columns import date_lit
 from .io import read_driver
 
@@ -92,10 +91,29 @@ def policies(orders: DataFrame) -> DataFrame:
     )
 
 
+def previous_status(events: DataFrame) -> DataFrame:
+    """``events`` plus the ``current_status`` of the same policy's event before
+    it in (date, event) order.
+
+    The window is cut by calendar month, so a policy with a large share of the
+    events spreads over its months; the first event of a month takes the last
+    status of the policy's month before, from one row per policy and month.
+    """
+    order = ["date_id", "event_id"]
+    dated = events.withColumn("__month", F.floor(F.col("date_id") / 100))
+    last = dated.groupBy("policy_id", "__month").agg(F.max_by("current_status", F.struct(*order)).alias("__last"))
+    months = last.withColumn("__carried", F.lag("__last").over(Window.partitionBy("policy_id").orderBy("__month"))).drop("__last")
+    inside = Window.partitionBy("policy_id", "__month").orderBy(*order)
+    lagged = dated.withColumn("__lag", F.lag("current_status").over(inside)).withColumn("__place", F.row_number().over(inside))
+    return (lagged.join(months, ["policy_id", "__month"])
+            .withColumn("previous_status", F.when(F.col("__place") == 1, F.col("__carried")).otherwise(F.col("__lag")))
+            .drop("__month", "__carried", "__lag", "__place"))
+
+
 def policy_events(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
-    policy = F.when(e % 50 == 0, -e - 1).otherwise(F.floor(e / 3.0).cast("long"))
-    day = date_lit(EPOCH) + (F.floor(e / 2.0) * 37 % 2400).cast("int")
+    policy = F.when(e % 50 == 0, -e - 1).otherwise(F.expr("event_id div 3"))
+    day = date_lit(EPOCH) + (F.expr("event_id div 2") * 37 % 2400).cast("int")
     base = events.select(
         e.alias("event_id"),
         policy.alias("policy_id"),
@@ -106,10 +124,7 @@ def policy_events(events: DataFrame) -> DataFrame:
         _lookup(F.col("event_type"), STATUS_BY_EVENT_TYPE).alias("current_status"),
         (F.col("event_type") == "purchase").alias("is_renewed"),
     )
-    # previous status of the same policy in (date, event) order — a range-sorted
-    # global lag, so a policy with a large share of the events is not one task
-    with_prev = previous_in_order(base, "policy_id", ["date_id", "event_id"], "current_status", "previous_status")
-    return with_prev.select(
+    return previous_status(base).select(
         "event_id", "policy_id", "customer_id", "product_id", "channel_id", "date_id", "previous_status",
         "current_status", "is_renewed")
 
