@@ -29,7 +29,7 @@ PRODUCT_MEASURES = (("Unrealised Premium", "unrealised_premium_value"),
 
 def bi_policies(policies: DataFrame, channels: DataFrame, products: DataFrame) -> DataFrame:
     """Policy features + channel and product attributes (left joins, so a
-    missing dimension row loses no policy; both dimensions size-checked)."""
+    missing dimension row loses no policy)."""
     df = policies.join(channels.select("channel_id", "channel_name", "channel_type"), "channel_id", "left")
     return df.join(products.select("product_id", "product_name", "product_category"), "product_id", "left")
 
@@ -47,8 +47,9 @@ def lapsed_count() -> Column:
 
 
 def acquisition_loss_by_channel(bi: DataFrame) -> DataFrame:
-    """B1"""
-    return bi.groupBy("channel_name").agg(fx.money(F.sum(kpi.lapsed_cost())).alias("acquisition_loss"))
+    """B1, largest loss first"""
+    g = bi.groupBy("channel_name").agg(fx.money(F.sum(kpi.lapsed_cost())).alias("acquisition_loss"))
+    return kpi.by_measure(g, "acquisition_loss", "channel_name")
 
 
 def acquisition_cost_by_channel(bi: DataFrame) -> DataFrame:
@@ -57,16 +58,18 @@ def acquisition_cost_by_channel(bi: DataFrame) -> DataFrame:
 
 
 def channel_comparison(bi: DataFrame) -> DataFrame:
-    """Distinct policies, persistency and acquisition loss per channel."""
-    return bi.groupBy("channel_name").agg(
+    """Distinct policies, persistency and acquisition loss per channel,
+    most policies first."""
+    return kpi.by_measure(bi.groupBy("channel_name").agg(
         F.count_distinct("policy_id").alias("policies"),
         fx.percent(fx.count_where(kpi.is_status(K.ACTIVE)), F.count("policy_id")).alias("persistency_ratio"),
-        fx.money(F.sum(kpi.lapsed_cost())).alias("acquisition_loss"))
+        fx.money(F.sum(kpi.lapsed_cost())).alias("acquisition_loss")), "policies", "channel_name")
 
 
 def customer_status_distribution(customers: DataFrame) -> DataFrame:
-    """B4"""
-    return customers.groupBy("customer_latest_status").agg(F.count_distinct("customer_id").alias("customers"))
+    """B4, most customers first"""
+    g = customers.groupBy("customer_latest_status").agg(F.count_distinct("customer_id").alias("customers"))
+    return kpi.by_measure(g, "customers", "customer_latest_status")
 
 
 def early_default_split(policies: DataFrame) -> DataFrame:
@@ -76,8 +79,8 @@ def early_default_split(policies: DataFrame) -> DataFrame:
 
 
 def sum_by(bi: DataFrame, by: str, measure: str, name: str) -> DataFrame:
-    """A money measure summed per dimension value."""
-    return bi.groupBy(by).agg(fx.money(F.sum(measure)).alias(name))
+    """A money measure summed per dimension value, largest first."""
+    return kpi.by_measure(bi.groupBy(by).agg(fx.money(F.sum(measure)).alias(name)), name, by)
 
 
 def policies_status_overview(policies: DataFrame) -> DataFrame:
@@ -86,11 +89,11 @@ def policies_status_overview(policies: DataFrame) -> DataFrame:
 
 
 def product_performance(bi: DataFrame) -> DataFrame:
-    """B19"""
+    """B19, highest persistency first"""
     n = F.count("policy_id")
-    return bi.groupBy("product_name").agg(
+    return kpi.by_measure(bi.groupBy("product_name").agg(
         fx.percent(fx.count_where(kpi.is_status(K.ACTIVE)), n).alias("persistency_ratio"),
-        fx.percent(lapsed_count(), n).alias("lapse_rate"))
+        fx.percent(lapsed_count(), n).alias("lapse_rate")), "persistency_ratio", "product_name")
 
 
 def _choice(pairs, choice: str) -> str:
@@ -101,11 +104,12 @@ def _choice(pairs, choice: str) -> str:
 
 
 def lapse_by_customer_segment(customers: DataFrame, choice: str = "Age Group") -> DataFrame:
-    """Average of (status = Lapsed) over customers of each segment."""
+    """Average of (status = Lapsed) over customers of each segment,
+    highest first."""
     seg = _choice(CUSTOMER_SEGMENTS, choice)
-    return customers.groupBy(P(seg).alias("segment")).agg(
+    return kpi.by_measure(customers.groupBy(P(seg).alias("segment")).agg(
         fx.fraction(fx.count_where(kpi.is_status("Lapsed", "customer_latest_status")), F.count(F.lit(1)))
-        .alias("lapse_rate"))
+        .alias("lapse_rate")), "lapse_rate", "segment")
 
 
 def lapse_by_policy_segment(bi: DataFrame, choice: str = "Tenure Bucket") -> DataFrame:
@@ -208,6 +212,21 @@ def retention_tiles(policies: DataFrame, customers: DataFrame) -> DataFrame:
     return p.unionByName(c)
 
 
+def dashboard_rows(sheets: dict[str, DataFrame], name: str) -> DataFrame:
+    """A dashboard as long rows ``(dashboard, sheet, label, measure,
+    value)``; a sheet's text column is the label, its numbers are measures."""
+    out = None
+    for sheet, df in sheets.items():
+        label = next((c for c, t in df.dtypes if t == "string"), None)
+        measures = [c for c in df.columns if c != label]
+        named = df.select((P(label) if label else F.lit(None).cast("string")).alias("label"),
+                          *[P(c).cast("double").alias(c) for c in measures])
+        rows = named.unpivot(["label"], measures, "measure", "value").select(
+            F.lit(name).alias("dashboard"), F.lit(sheet).alias("sheet"), "label", "measure", "value")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def dashboard_tables(name: str, bi: DataFrame, policies: DataFrame, customers: DataFrame, events: DataFrame,
                      as_of: dt.date) -> dict[str, DataFrame]:
     """The worksheets of one dashboard, by name."""

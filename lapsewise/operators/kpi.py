@@ -37,6 +37,12 @@ def segment_rate(df: DataFrame, by: str | Sequence[str], event: Column, n_name:
     return df.groupBy(*by).agg(n.alias(n_name), fx.rate(n, F.count(count_col)).alias(rate_name))
 
 
+def by_measure(df: DataFrame, measure: str, tie_break: str) -> DataFrame:
+    """O2: aggregated rows by a measure, largest first, nulls last; equal ones
+    by ``tie_break``, nulls first."""
+    return df.orderBy(F.desc_nulls_last(measure), F.asc_nulls_first(tie_break))
+
+
 def share_of_total(grouped: DataFrame, measure: str, name: str, exact_cents: bool = False) -> DataFrame:
     """Adds each segment's percentage of the measure's total.  Runs on an
     already-aggregated frame (one row per segment), so the total window
@@ -167,11 +173,12 @@ def channel_persistency(policies: DataFrame) -> DataFrame:
 
 
 def channel_leakage_share(policies: DataFrame) -> DataFrame:
-    """K17 + K18: acquisition cost of lapsed policies per channel and its
-    share of the (computed) total."""
+    """K17 + K18: acquisition cost of lapsed policies per channel, largest
+    first, and its share of the (computed) total."""
     g = policies.groupBy("channel_id").agg(F.sum(lapsed_cost()).alias("__leak"))
     g = share_of_total(g, "__leak", "per_contribution_to_total_leak", exact_cents=True)
-    return g.select("channel_id", fx.money(P("__leak")).alias("leakage_amount"), "per_contribution_to_total_leak")
+    g = g.select("channel_id", fx.money(P("__leak")).alias("leakage_amount"), "per_contribution_to_total_leak")
+    return by_measure(g, "leakage_amount", "channel_id")
 
 
 def channel_risk_pct(policies: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ columns are aliased to the names the SQL oracle uses; money is DOUBLE.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,12 @@ from ..operators import clean as C
 from ..operators import features as E
 from ..operators import kpi as Q
 from ..operators import profile as PR
+from ..session import shared_dir
 from ..sources import schemas
+from ..sources.io import read_raw
 from . import cleaning
 from .pipeline import materialize, materialize_raw
+from .sql import run_sql
 
 AS_OF = K.FIXTURE_AS_OF
 P = F.col
@@ -516,7 +520,7 @@ def lapse_after_grace(spark, sf_dir):
 
 @query
 def lapse_by_product(spark, sf_dir):
-    return Q.lapse_by(model(spark, sf_dir).policies, "product_id", "product_lapse_rate")
+    return Q.by_measure(Q.lapse_by(model(spark, sf_dir).policies, "product_id", "product_lapse_rate"), "product_lapse_rate", "product_id")
 
 
 @query
@@ -645,3 +649,43 @@ def unrealised_by_product(spark, sf_dir):
 @query
 def product_measure(spark, sf_dir):
     return B.product_measure_all(_bi(model(spark, sf_dir)))
+
+
+def _dashboard(spark, sf_dir, name):
+    m = model(spark, sf_dir)
+    return B.dashboard_rows(B.dashboard_tables(name, _bi(m), m.policies, m.customers, m.events, AS_OF), name)
+
+
+@query
+def dashboard_executive(spark, sf_dir):
+    """B26"""
+    return _dashboard(spark, sf_dir, "Executive")
+
+
+@query
+def dashboard_retention(spark, sf_dir):
+    """B26"""
+    return _dashboard(spark, sf_dir, "Retention")
+
+
+@query
+def dashboard_financial(spark, sf_dir):
+    """B26"""
+    return _dashboard(spark, sf_dir, "Financial")
+
+
+@query
+def csv_landing(spark, sf_dir):
+    """The raw customers landed as CSV with a header in the shared folder
+    and scanned back with their declared types."""
+    customers = raw(spark, sf_dir)["customers"]
+    path = f"{shared_dir(spark)}/lapsewise-csv/{uuid.uuid4().hex}"
+    customers.write.option("header", True).csv(path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return read_raw(spark, path, customers.schema)
+
+
+@query
+def sql_views(spark, sf_dir):
+    """One statement over the model's temp views, with ``==``."""
+    return run_sql(model(spark, sf_dir), """
+        SELECT channel_id, count(*) AS n_active FROM policies WHERE latest_status == 'active' GROUP BY channel_id""")
