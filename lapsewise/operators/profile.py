@@ -62,7 +62,8 @@ def describe(df: DataFrame, name: str, cols: Sequence[str], scale: int = 2) -> D
     for i, c in enumerate(cols):
         x = F.col(c)
         places = max(scale, df.schema[c].dataType.scale if isinstance(df.schema[c].dataType, DecimalType) else scale)
-        scaled = (x * (10**places)).cast("decimal(38,0)")  # every decimal of the column; rounded once, below
+        # every decimal of the column; rounded once, below
+        scaled = (x.cast(f"decimal(28,{places})") * (10**places)).cast("decimal(38,0)")
         aggs += [F.count(x).alias(f"n{i}"),
                  fx.round_ratio(F.sum(scaled), F.count(x) * (10**places), scale).alias(f"mean{i}"),
                  F.round(F.stddev_samp(x.cast("double")), scale).alias(f"sd{i}"),
@@ -73,6 +74,17 @@ def describe(df: DataFrame, name: str, cols: Sequence[str], scale: int = 2) -> D
     return df.agg(*aggs).select(F.inline(F.array(*rows))).select(F.lit(name).alias("table_name"), "*")
 
 
+def describe_text(df: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
+    """P3 for text: count, smallest and largest value per column, all columns
+    in one aggregate."""
+    aggs, rows = [], []
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}")]
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), F.col(f"min{i}").alias("min"),
+                             F.col(f"max{i}").alias("max")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows))).select(F.lit(name).alias("table_name"), "*")
+
+
 def violation_counts(df: DataFrame, name: str, rules: dict[str, Column]) -> DataFrame:
     """Rows breaking each rule, all rules in one pass."""
     wide = df.agg(*[fx.count_where(pred).alias(r) for r, pred in rules.items()])

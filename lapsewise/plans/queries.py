@@ -138,6 +138,46 @@ def describe_premium(spark, sf_dir):
     return PR.describe(raw(spark, sf_dir)["policies"], "policies", ["policy_premium", "policy_value", "cost_spent"])
 
 
+# columns whose summary statistics are profiled; *_features are the feature layers
+DESCRIBED_NUMBERS = {
+    "customers": ["customer_age"],
+    "agents": ["channel_id"],
+    "dates": ["date_id", "year", "is_weekday"],
+    "policies": ["product_id", "channel_id", "policy_value", "policy_tenure", "policy_premium", "cost_spent",
+                 "total_time_in_grace", "issue_year"],
+    "policy_events": ["product_id", "channel_id", "date_id"],
+    "premium_payments": ["date_id", "premium_amount", "is_missed", "is_in_grace_period"],
+    "policy_features": ["expected_premium_value", "total_premium_received", "unrealised_premium_value"],
+    "customer_features": ["no_of_policies", "expected_lifetime_value"],
+}
+DESCRIBED_TEXTS = {
+    "customers": ["customer_name", "customer_gender", "customer_city", "customer_occupation", "customer_income_bracket"],
+    "agents": ["agent_id", "agent_name", "agent_city", "agent_region"],
+    "policies": ["policy_number", "agent_id", "latest_status"],
+    "policy_events": ["previous_status", "current_status"],
+    "premium_payments": ["payment_status"],
+}
+
+
+def profiled(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return {**raw(spark, sf_dir), "policy_features": m.policies, "customer_features": m.customers}
+
+
+@query
+def describe_numbers(spark, sf_dir):
+    """Every profiled numeric column, one aggregate per table."""
+    t = profiled(spark, sf_dir)
+    return PR.union_all([PR.describe(t[n], n, cols) for n, cols in DESCRIBED_NUMBERS.items()])
+
+
+@query
+def describe_texts(spark, sf_dir):
+    """Every profiled text column, one aggregate per table."""
+    t = profiled(spark, sf_dir)
+    return PR.union_all([PR.describe_text(t[n], n, cols) for n, cols in DESCRIBED_TEXTS.items()])
+
+
 def exploration_rules(t):
     p, c, pay = P, t["customers"], t["premium_payments"]
     return [
