@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, materialise
+from .common import batches, claim, materialise
 from .tokens import token_ids
 
 #: Workers whose unfilled classes one merging task takes; each has under 64 classes x ``capacity`` ids.
@@ -145,6 +145,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
 
 def _merge(capacity: int, rounds: int, last: bool):
     def merge(key, table):
+        claim("packing")
         group = key[0].as_py()
         filler = Filler(capacity, (rounds << 58) | (group << 28))
         rows = table.select(["doc_id", "start", "doc_tokens", "ids"]).to_pylist()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import batches, materialise, shuffle_partitions, prepare
+from .common import batches, claim, materialise, shuffle_partitions, prepare
 from .tokens import token_ids
 
 #: Ids between two checkpoints; ids after which a block is closed; the longest code.
@@ -121,6 +121,7 @@ def codebook(tokens: DataFrame, dtype: str, max_bits: int = MAX_BITS) -> tuple[n
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64())])
 
     def count(tables):
+        claim("blocks")
         total = np.zeros(0, np.int64)
         for b in tables:
             got = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), dtype))
@@ -155,6 +156,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
                         ("checkpoints", pa.binary()), ("payload", pa.binary())])
 
     def encode(tables):
+        claim("blocks")
         shard, block, first = TaskContext.get().partitionId(), 0, 0
         names, parts, held = [], [], 0
 
@@ -192,6 +194,7 @@ def read_token_files(spark: SparkSession, path: str, dtype: str = "<u2", max_bit
                         ("ids", pa.binary())])
 
     def decode(tables):
+        claim("blocks")
         symbol, width = decode_table(ids, bits, dtype, max_bits)
         for b in tables:
             for r in b.to_pylist():

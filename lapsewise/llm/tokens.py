@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import batches, claim, prepare, utf8
 
 #: Words, and parts that hold more than a word, whose ids a worker keeps (two generations of this size at most).
-CACHE_WORDS, CACHE_PARTS = 300_000, 60_000
+CACHE_WORDS, CACHE_PARTS = 220_000, 50_000
 
 # Characters whose pre-token class is the same in every regex engine and Unicode version.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -30,6 +30,7 @@ PUNCTUATION = ".,;:!?|%&$*#@()\\-/"
 #: Byte-level alphabet: printable bytes stand for themselves, the others, in order, for the characters from 256 on.
 BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
 _SPACE_RUN = re.compile(r"\s ")
+_RUNS = [chr(c) + " " for c in (*range(9, 14), *range(28, 33))]  # the same for ASCII texts
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -112,7 +113,7 @@ class Encoder:
         return ids
 
     def encode(self, text: str) -> bytes:
-        if _SPACE_RUN.search(text):
+        if any(run in text for run in _RUNS) if text.isascii() else _SPACE_RUN.search(text):
             first, *rest = _CUT.split(text)
             rest = [x[1:] for x in rest]
         else:
