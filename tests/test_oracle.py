@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lapsewise import oracle
 
 from .conftest import SF001
 
@@ -36,7 +37,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.queries()))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF001)
     cur = con.execute(E.oracle_sql()[name])
