@@ -109,10 +109,10 @@ def value_counts_features(spark, sf_dir):
 
 @query
 def schema_check(spark, sf_dir):
-    """Raw tables against the declared raw schemas, with each column's
-    non-null count (no oracle — the check is about Spark types)."""
+    """Raw tables against the schemas declared for them, with each
+    column's non-null count (one aggregate per table)."""
     t = raw(spark, sf_dir)
-    return PR.union_all([PR.schema_violations(t[n], n, schemas.RAW[n]) for n in schemas.RAW])
+    return PR.union_all([PR.schema_violations(t[n], n, schemas.ADAPTED[n]) for n in schemas.ADAPTED])
 
 
 @query

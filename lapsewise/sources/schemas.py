@@ -6,7 +6,7 @@ for profiling unknown files.
 """
 
 from pyspark.sql.types import (BooleanType, DateType, DecimalType, IntegerType, LongType, StringType,
-                               StructField, StructType)
+                               StructField, StructType, TimestampNTZType)
 
 MONEY = DecimalType(18, 2)
 
@@ -48,3 +48,13 @@ RAW = {
     "customers": CUSTOMERS, "policies": POLICIES, "products": PRODUCTS, "channels": CHANNELS,
     "agents": AGENTS, "dates": DATES, "policy_events": POLICY_EVENTS, "premium_payments": PREMIUM_PAYMENTS,
 }
+
+# The same tables as the adapter derives them: numeric policy and customer
+# keys, and the payments' survivor order.
+_NUMERIC_KEYS = ("customer_id", "policy_id")
+_SURVIVOR_ORDER = [("l_partkey", LongType()), ("l_suppkey", LongType()), ("l_shipdate", TimestampNTZType())]
+ADAPTED = {
+    name: _s(*[(f.name, LongType() if f.name in _NUMERIC_KEYS else f.dataType) for f in schema.fields],
+             *(_SURVIVOR_ORDER if name == "premium_payments" else []))
+    for name, schema in RAW.items()
+}

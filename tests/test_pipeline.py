@@ -77,8 +77,8 @@ def test_entry_points(spark):
     layered = REGISTRY[entry_mod.FLAGSHIP](spark, SF001)
     assert df.exceptAll(layered).count() == 0 and layered.exceptAll(df).count() == 0
     assert "lineitem" not in df._jdf.queryExecution().executedPlan().toString()
-    rows_only = set(entry_mod.queries()) - set(entry_mod.oracle_sql())
-    assert rows_only == {"schema_check"}          # metadata check, no SQL equivalent
+    rows_only = set(REGISTRY) - set(entry_mod.oracle_sql())
+    assert rows_only == set()
     assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
 
 
