@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 #: Bytes of text that one chunk (one Python call) holds at most, on average.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -42,10 +42,17 @@ def claim(owner: str, cache=None) -> None:
             if name != owner:
                 other.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # glibc only: give freed pages back
-            ctypes.CDLL(None).malloc_trim(0)
         _owner = owner
+        with contextlib.suppress(OSError, AttributeError):  # glibc only: large arrays go back when they are freed
+            ctypes.CDLL(None).mallopt(-3, 1 << 20)
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def prepare(spark: SparkSession, rows: int = 1000, mb: int = 4) -> None:

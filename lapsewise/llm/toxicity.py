@@ -32,9 +32,9 @@ from .common import batches, claim, materialise, prepare, utf8
 from .labelled import sample
 
 #: Documents of a class that the models learn from; n-grams that a model holds; longest n-gram; discount.
-PER_CLASS, MAX_GRAMS, ORDER, DISCOUNT = 4000, 400_000, 5, 0.75
+PER_CLASS, MAX_GRAMS, ORDER, DISCOUNT = 4000, 250_000, 5, 0.75
 #: Words whose evidence a worker keeps.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 _find_words = re.compile(r"\w+").findall
 _evidence: dict[str, dict[str, float]] = {}

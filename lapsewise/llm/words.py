@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from .common import claim
+from .common import claim, give_back
 
 _digest = xxhash.xxh3_64_intdigest
 
@@ -20,6 +20,7 @@ class Words:
 
     def __init__(self, texts: list[bytes]):
         claim("words")
+        give_back()  # what the chunk before has left
         parts, lengths = [], []
         for text in texts:
             words = split(text)
