@@ -1,6 +1,6 @@
 """Operator 9: stupid-backoff scores of every document under the corpus' own n-gram counts.
 
-Count tables of words and word pairs, partitioned by hash.  Documents are dealt
+Count tables of all n-grams up to an order, partitioned by hash.  Documents are dealt
 to chunks; a chunk explodes its texts to n-grams, counts them, and sends the
 distinct ones, sorted and packed, to hash buckets.  A bucket adds the counts up
 and joins the totals back to the chunks that asked, where they are summed per
@@ -34,15 +34,18 @@ def _from_planes(raw: bytes) -> np.ndarray:
 
 
 class _Grams:
-    """The n-grams of one chunk: word hashes, and hashes of the pairs inside a document."""
+    """The n-grams of one chunk by size: ``at``, the words that begin one inside a document, and tables of their hashes."""
 
-    def __init__(self, texts: list[bytes], buckets: int):
+    def __init__(self, texts: list[bytes], buckets: int, order: int):
         self.words, self.buckets = Words(texts), buckets
-        w = self.words
-        self.pairs = np.flatnonzero(w.left >= 2)
-        both = mix(w.h[self.pairs], w.h[self.pairs + 1]) if len(self.pairs) else np.zeros(0, np.uint64)
-        self.tables = {1: np.unique(w.h, return_inverse=True, return_counts=True),
-                       2: np.unique(both, return_inverse=True, return_counts=True)}
+        w, grams = self.words, self.words.h
+        self.at = {1: np.arange(len(w.h))}
+        self.tables = {1: np.unique(w.h, return_inverse=True, return_counts=True)}
+        for size in range(2, order + 1):
+            inside = w.left[self.at[size - 1]] >= size
+            self.at[size] = self.at[size - 1][inside]
+            grams = mix(grams[inside], w.h[self.at[size] + size - 1])
+            self.tables[size] = np.unique(grams, return_inverse=True, return_counts=True)
 
     def edges(self, size: int) -> np.ndarray:
         return np.searchsorted(bucket_of(self.tables[size][0], self.buckets), np.arange(self.buckets + 1))
@@ -80,16 +83,23 @@ def _add_up(key, sent):
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", backoff: float = 0.4,
-                    min_count: int = 2) -> DataFrame:
+                    min_count: int = 2, order: int = 2) -> DataFrame:
     """``(doc_id, n_words, n_backoff, log_score, mean_log_score)`` for every row.
 
-    Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  A word after another scores
-    count(pair) / count(first) if the pair occurs ``min_count`` times or more
-    in all documents, else ``backoff`` * count(word) / N; a document's first
-    word scores count(word) / N.  ``log_score`` sums natural logarithms,
-    ``n_backoff`` counts the second case.  A null or empty text scores 0 with a
-    null mean; repeated rows count as often as they occur; no rows give no rows.
+    Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  A word's context is the up to
+    ``order`` - 1 words before it in its document.  With a context it scores
+    count(context and word) / count(context) if those words occur ``min_count``
+    times or more in all documents, else ``backoff`` times its score under the
+    context without its first word; without any context, count(word) / N.
+    ``log_score`` sums natural logarithms, ``n_backoff`` counts the steps to a
+    shorter context.  A null or empty text scores 0 with a null mean; repeated
+    rows count as often as they occur; no rows give no rows.
+
+    The counts hold the scored text itself, so at a ``min_count`` of 1 no word
+    would ever back off: an n-gram met once is that text's own.
     """
+    if order < 1:
+        raise ValueError("order must be at least 1")
     spark = docs.sparkSession
     prepare(spark)
     words = F.size(F.array_remove(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), ""))
@@ -100,21 +110,25 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     log_n, log_back = float(np.log(total or 1)), float(np.log(backoff))
 
     def send(table):
-        return _Grams([x.encode() for x in table["text"].to_pylist()], n).sent(table["__chunk"][0].as_py())
+        return _Grams([x.encode() for x in table["text"].to_pylist()], n, order).sent(table["__chunk"][0].as_py())
 
     def score(table, reply):
         if not table.num_rows:
             return None
-        g = _Grams([x.encode() for x in table["text"].to_pylist()], n)
+        g = _Grams([x.encode() for x in table["text"].to_pylist()], n, order)
         answers = reply.to_pydict()
-        single, pair = g.totals(1, answers), g.totals(2, answers)
-        logs = np.log(single) - log_n if len(single) else np.zeros(0)
-        behind = g.pairs + 1
-        known = pair >= min_count
+        totals = g.totals(1, answers)
+        logs = np.log(totals) - log_n if len(totals) else np.zeros(0)
         backed = np.zeros(len(logs) + 1, np.int64)
-        backed[behind[~known]] = 1
-        logs[behind[~known]] += log_back
-        logs[behind[known]] = np.log(pair[known]) - np.log(single[g.pairs[known]])
+        for size in range(2, order + 1):  # a word's score under one more word of context replaces the shorter one's
+            context = np.zeros(len(logs), np.int64)
+            context[g.at[size - 1]] = totals
+            totals, behind = g.totals(size, answers), g.at[size] + size - 1
+            known = totals >= min_count
+            backed[behind[~known]] += 1
+            logs[behind[~known]] += log_back
+            backed[behind[known]] = 0
+            logs[behind[known]] = np.log(totals[known]) - np.log(context[g.at[size][known]])
         starts, lengths = g.words.starts, g.words.lengths
         some = lengths > 0
         sums, backs = np.zeros(len(starts)), np.zeros(len(starts), np.int64)

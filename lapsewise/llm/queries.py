@@ -93,6 +93,14 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
+@query
+def op9_trigram_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores as above, with two words of context and two backoff steps."""
+    scored = language_model.score_documents(table(spark, sf_dir, "documents"), order=3)
+    return scored.select("doc_id", "n_words", "n_backoff", F.round("log_score", 6).alias("log_score"),
+                         F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 @query
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest rows of every hundredth vector; approximate, so tested against brute force instead of SQL."""
@@ -138,6 +146,33 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS
 FROM t LEFT JOIN d USING (r)
 """
 
+ORACLE["op9_trigram_model"] = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+w AS (SELECT r, i, words[i] AS word, words[i - 1] AS before, words[i - 2] AS earlier
+      FROM (SELECT r, words, unnest(range(1, len(words) + 1)) AS i FROM t)),
+one AS (SELECT word, count(*) AS n FROM w GROUP BY word),
+two AS (SELECT before, word, count(*) AS n FROM w WHERE i > 1 GROUP BY before, word),
+three AS (SELECT earlier, before, word, count(*) AS n FROM w WHERE i > 2 GROUP BY earlier, before, word),
+s AS (
+  SELECT w.r,
+         CASE WHEN i > 2 AND three.n >= 2 THEN 0 ELSE CASE WHEN i > 2 THEN 1 ELSE 0 END + CASE WHEN i > 1 AND two.n < 2 THEN 1 ELSE 0 END END AS steps,
+         CASE WHEN i > 2 AND three.n >= 2 THEN ln(three.n) - ln(ab.n)
+              ELSE CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END
+                   + CASE WHEN i > 1 AND two.n >= 2 THEN ln(two.n) - ln(b.n)
+                          ELSE ln(o.n) - ln((SELECT count(*) FROM w)) + CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END END END AS score
+  FROM w JOIN one o ON o.word = w.word LEFT JOIN one b ON b.word = w.before
+         LEFT JOIN two ON two.before = w.before AND two.word = w.word AND w.i > 1
+         LEFT JOIN two ab ON ab.before = w.earlier AND ab.word = w.before AND w.i > 2
+         LEFT JOIN three ON three.earlier = w.earlier AND three.before = w.before AND three.word = w.word AND w.i > 2),
+d AS (SELECT r, count(*) AS n, sum(steps)::BIGINT AS n_backoff, sum(score) AS log_score FROM s GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff,
+       round(coalesce(log_score, 0), 6) AS log_score, round(log_score / n, 6) AS mean_log_score
+FROM t LEFT JOIN d USING (r)
+"""
+
 ORACLE["op4_chat"] = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

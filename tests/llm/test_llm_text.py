@@ -201,6 +201,35 @@ def test_language_model_equals_the_definition(spark):
     assert language_model.score_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+@pytest.mark.parametrize("order, min_count", [(1, 2), (3, 2), (3, 1), (4, 3)])
+def test_language_model_of_an_order_equals_the_definition(spark, order, min_count):
+    rng = random.Random(order)
+    texts = [None, "", "one", "a b", *(" ".join(rng.choice("abcde") for _ in range(rng.randint(1, 40))) for _ in range(20)), "aa " * 500]
+    words = [words_of(t) for t in texts]
+    count = Counter(tuple(ws[i: i + k]) for ws in words for k in range(1, order + 1) for i in range(len(ws) - k + 1))
+    total = sum(map(len, words))
+
+    def scored(gram):  # log score and backoff steps of its last word
+        if len(gram) == 1:
+            return math.log(count[gram] / total), 0
+        if count[gram] >= min_count:
+            return math.log(count[gram] / count[gram[:-1]]), 0
+        score, steps = scored(gram[1:])
+        return score + math.log(0.4), steps + 1
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in language_model.score_documents(docs.repartition(3), min_count=min_count, order=order).collect():
+        each = [scored(tuple(words[r["doc_id"]][max(0, i - order + 1): i + 1])) for i in range(r["n_words"])]
+        assert r["n_backoff"] == sum(s for _, s in each) and abs(r["log_score"] - sum(x for x, _ in each)) < 1e-6
+
+
+def test_language_model_reads_two_words_of_context(spark):
+    texts = ["a x p"] * 2 + ["b x q"] * 2 + ["a x q", "b x p", "c x p", "c x q", "a x", "b x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["log_score"] for r in language_model.score_documents(docs, order=3).collect()}
+    assert got[0] > got[4] + 0.5  # the same words and pair counts but for the word two back
+
+
 # -------------------------------------------------------------------- classifiers
 
 @pytest.mark.parametrize("score, label, folds, held, precision, recall", [
