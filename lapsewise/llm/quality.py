@@ -67,7 +67,8 @@ def _pass(z: np.ndarray, n: np.ndarray, docs: list[tuple[int, float, np.ndarray]
 
 def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, id_col: str = "doc_id", text_col: str = "text",
           per_class: int = PER_CLASS) -> np.ndarray:
-    """The weights.  Classes are weighted to their share of all labels; without labels all weights are zero."""
+    """The weights.  Classes are weighted to their share of all labels, at a mean weight of 1 over the sample, so
+    that the regularisers weigh alike however many labels there are; without labels all weights are zero."""
     spark = docs.sparkSession
     prepare(spark, rows=500)
     drawn, counts = sample(docs, labels, label, learn, per_class, id_col, text_col)
@@ -81,6 +82,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, id_col:
 
     shard = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SHARDS)).cast("int").alias("shard")
     rows = materialise(drawn.select(shard, "doc_id", "y", "text").mapInArrow(hashed, "shard int, doc_id long, y int, at binary"), "features")
+    drawn_rows = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    mean = sum(share[y] * n for y, n in drawn_rows.items()) / max(1, sum(drawn_rows.values()))
+    share = {y: s / (mean or 1) for y, s in share.items()}
     z, n = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
     for number in range(ROUNDS):
         state = spark.sparkContext.broadcast((z, n))

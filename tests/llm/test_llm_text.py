@@ -242,6 +242,17 @@ def test_held_out_accuracy(spark, score, label, folds, held, precision, recall):
     assert hit / sum(p for p, _ in rows) >= precision and hit / sum(y for _, y in rows) >= recall
 
 
+def test_quality_weights_follow_the_class_ratio_only(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, i % 2, " ".join(rng.choice(("good", "fine", "plain") if i % 2 else ("bad", "poor", "plain")) for _ in range(30))) for i in range(40)]
+    drawn = spark.createDataFrame(rows, "doc_id long, y int, text string").withColumn("text", F.encode("text", "utf-8"))
+    trained = []
+    for times in (1, 60):
+        monkeypatch.setattr(quality, "sample", lambda *_, k=times: (drawn, {0: 100 * k, 1: 300 * k}))
+        trained.append(quality.train(drawn, drawn, "y", F.lit(True), per_class=20))
+    assert abs(trained[0]).max() > 0 and abs(trained[0] - trained[1]).max() < 1e-9
+
+
 @pytest.mark.parametrize("score", [toxicity.toxic_scores, quality.quality_scores])
 def test_classifiers_on_odd_rows(spark, score):
     docs = spark.createDataFrame([(1, None, "l"), (2, "", "l"), (None, "x", "l"), (3, "w" * 100000, "l"), (3, "again " * 20000, "l")], "doc_id long, text string, y string")
