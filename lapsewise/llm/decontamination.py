@@ -45,19 +45,26 @@ def _shingled(text: str) -> Column:
 
 
 def _simhash(s: Column) -> Column:
-    """Bits set in over half of the shingles.  Four 16-bit counters share a long: bits g, g + 16, g + 32, g + 48."""
+    """Bits set in over half of the shingles."""
+    return F.when(F.size(s) < 1 << 15, _majority(s, 16)).otherwise(_majority(s, 32))
+
+
+def _majority(s: Column, width: int) -> Column:
+    """The same by counters of ``width`` bits that share a long, the top one signed: bits g, g + width and so on."""
+    places = range(0, 64, width)
+
     def counted(g: Column) -> Column:
         def bits(total: Column) -> Column:
             out = F.lit(0).cast("long")
-            for up in (0, 16, 32, 48):
-                count = F.shiftrightunsigned(total, up).bitwiseAND(F.lit(0xFFFF))
+            for up in places:
+                count = F.shiftrightunsigned(total, up).bitwiseAND(F.lit((1 << width) - 1))
                 out = out.bitwiseOR(F.call_function("shiftleft", F.when(2 * count > F.size(s), F.lit(1)).otherwise(F.lit(0)).cast("long"), g + up))
             return out
 
-        lanes = F.lit(0x0001000100010001).cast("long")
+        lanes = F.lit(sum(1 << up for up in places)).cast("long")
         return F.aggregate(s, F.lit(0).cast("long"), lambda total, h: total + F.call_function("shiftrightunsigned", h, g).bitwiseAND(lanes), bits)
 
-    return F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(15)), counted), F.lit(0).cast("long"), lambda f, g: f.bitwiseOR(g))
+    return F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), counted), F.lit(0).cast("long"), lambda f, g: f.bitwiseOR(g))
 
 
 def _mask(block: int) -> int:

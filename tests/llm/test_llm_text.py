@@ -177,6 +177,17 @@ def test_decontamination_equals_brute_force(spark):
     assert decontamination.contaminated(frame, bench.limit(0)).collect() == []
 
 
+def test_decontamination_by_an_item_of_70000_words(spark):
+    rng = random.Random(7)
+    hashes = [rng.choice([-1, 1 << 62, rng.getrandbits(62)]) for _ in range(70_000)]
+    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    got = spark.createDataFrame([(hashes,), (hashes[:9],)], "s array<long>").select(decontamination._simhash(F.col("s"))).collect()
+    assert got[0][0] & (1 << 64) - 1 == want
+    docs = spark.createDataFrame([(1, "same " * 70_000), (2, "same " * 60)], "doc_id long, text string")
+    found = decontamination.contaminated(docs, docs.where("doc_id = 1").withColumnRenamed("doc_id", "item_id")).collect()
+    assert [(r["doc_id"], r["item_id"], r["similarity"], r["distance"]) for r in found] == [(1, 1, 1.0, 0)]
+
+
 # ----------------------------------------------------------------- language model
 
 def test_language_model_equals_the_definition(spark):
