@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.columns import date_lit
+from ..operators.joins import null_safe_on
 from .io import read_driver
 
 EPOCH = dt.date(1995, 1, 1)
@@ -98,16 +99,19 @@ def previous_status(events: DataFrame) -> DataFrame:
     The window is cut by calendar month, so a policy with a large share of the
     events spreads over its months; the first event of a month takes the last
     status of the policy's month before, from one row per policy and month.
+    Events with a null policy or date are kept, each null being a key of its own.
     """
     order = ["date_id", "event_id"]
     dated = events.withColumn("__month", F.floor(F.col("date_id") / 100))
     last = dated.groupBy("policy_id", "__month").agg(F.max_by("current_status", F.struct(*order)).alias("__last"))
-    months = last.withColumn("__carried", F.lag("__last").over(Window.partitionBy("policy_id").orderBy("__month"))).drop("__last")
+    months = last.withColumn("__carried", F.lag("__last").over(Window.partitionBy("policy_id").orderBy("__month"))) \
+        .select(F.col("policy_id").alias("__policy"), F.col("__month").alias("__of"), "__carried")
     inside = Window.partitionBy("policy_id", "__month").orderBy(*order)
     lagged = dated.withColumn("__lag", F.lag("current_status").over(inside)).withColumn("__place", F.row_number().over(inside))
-    return (lagged.join(months, ["policy_id", "__month"])
+    own = null_safe_on("policy_id", "__policy") & null_safe_on("__month", "__of")
+    return (lagged.join(months, own, "left")
             .withColumn("previous_status", F.when(F.col("__place") == 1, F.col("__carried")).otherwise(F.col("__lag")))
-            .drop("__month", "__carried", "__lag", "__place"))
+            .drop("__month", "__policy", "__of", "__carried", "__lag", "__place"))
 
 
 def policy_events(events: DataFrame) -> DataFrame:

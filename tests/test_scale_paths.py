@@ -99,3 +99,9 @@ def test_previous_status_matches_lag_with_a_hot_policy(spark):
     want = df.withColumn("previous_status", lag).select(*got.columns)
     assert got.count() == 3000
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_previous_status_keeps_events_without_policy_or_date(spark):
+    rows = [(None, 19950101, 1, "a"), (None, 19950201, 2, "b"), (5, None, 3, "c"), (5, 19950101, 4, "d"), (5, 19950102, 5, "e")]
+    got = previous_status(spark.createDataFrame(rows, "policy_id long, date_id int, event_id long, current_status string")).collect()
+    assert {r["event_id"]: r["previous_status"] for r in got} == {1: None, 2: "a", 3: None, 4: "c", 5: "d"} and len(got) == 5
