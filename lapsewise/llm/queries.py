@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, language_model, neighbours, packing, quality, simhash, substrings, token_files, toxicity
+from . import chat, decontamination, language_model, neighbours, packing, quality, sharding, simhash, substrings, token_files, toxicity
 from .labelled import fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,54 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+#: Shards and metadata dimensions of the sharded documents.
+SHARDS, SHARD_DIMENSIONS = 8, ["lang", "source", "n_chars"]
+
+
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight runs of a Hilbert curve over language, source and length."""
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARD_DIMENSIONS, SHARDS, tie=["doc_id", "text"])
+    utf8 = F.coalesce("text", F.lit("")).cast("binary")
+    return placed.select("doc_id", (F.octet_length(utf8) + 1).cast("long").alias("size"), F.crc32(utf8).alias("text_crc32"),
+                         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _hilbert_sql() -> str:
+    """DuckDB SQL of the shards: equal-depth cells by counts below, the curve by one table of orientations per bit level."""
+    dims, bits = len(SHARD_DIMENSIONS), sharding.BITS
+    cells = (1 << bits) - 1
+    _, steps = sharding._states(dims)
+    table = ", ".join(f"({s}, {label}, {w}, {after})" for s, row in enumerate(steps) for label, (w, after) in enumerate(row))
+    key = {c: f"left({c}, {sharding.PREFIX})" if c != "n_chars" else c for c in SHARD_DIMENSIONS}
+    cell = ", ".join(
+        f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 + (rank() OVER (PARTITION BY {c} IS NULL ORDER BY {key[c]}) - 1) * {cells} "
+        f"// count(*) OVER (PARTITION BY {c} IS NULL) END AS c{i}" for i, c in enumerate(SHARD_DIMENSIONS))
+    label = " + ".join(f"((c{i} >> {{level}}) & 1) * {1 << (dims - 1 - i)}" for i in range(dims))
+    levels = "".join(
+        f",\nl{k} AS (SELECT p.* EXCLUDE (place, state), p.place * {1 << dims} + t.w AS place, t.after AS state "
+        f"FROM {f'l{k - 1}' if k else 'cells'} p JOIN curve t ON t.state = p.state AND t.label = {label.format(level=bits - 1 - k)})" for k in range(bits))
+    crc = []
+    for c in range(256):  # the table of the reflected polynomial
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        crc.append(c)
+    return f"""
+WITH curve(state, label, w, after) AS (VALUES {table}),
+crc AS (SELECT {crc}::BIGINT[] AS t),
+cells AS (SELECT doc_id, coalesce(text, '') AS text, text AS original, {cell}, 0::BIGINT AS place, 0 AS state FROM documents){levels},
+r AS (SELECT *, row_number() OVER (ORDER BY place, doc_id NULLS FIRST, original NULLS FIRST) - 1 AS r, count(*) OVER () AS total FROM l{bits - 1}),
+s AS (SELECT *, r * {SHARDS} // total AS shard FROM r)
+SELECT doc_id, (strlen(text) + 1)::BIGINT AS size,
+       xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda b: ('0x' || b)::BIGINT)),
+                       lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)::BIGINT AS text_crc32, 'rows' AS law, shard::INT AS shard,
+       (r - (total * shard + {SHARDS - 1}) // {SHARDS})::BIGINT AS slot, NULL::INT AS grown_shard
+FROM s, crc"""
+
+
+ORACLE["op11_sharding"] = _hilbert_sql()
+
+
 ORACLE["op5_substrings"] = r"""
 WITH w AS (
   SELECT row_number() OVER () AS r, doc_id,
