@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, language_model, neighbours, packing, quality, sharding, simhash, substrings, token_files, toxicity
+from . import chat, collocations, decontamination, language_model, neighbours, packing, quality, sharding, simhash, substrings, token_files, toxicity
 from .labelled import fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,47 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of every language over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+p AS (SELECT lang, row_number() OVER () AS p, piece FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+w AS (SELECT lang, p, unnest(x) AS word, generate_subscripts(x, 1) AS i
+      FROM (SELECT lang, p, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS x FROM p)),
+m AS (SELECT lang, word, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c, lead(word, 3) OVER o AS d FROM w WINDOW o AS (PARTITION BY p ORDER BY i)),
+f AS MATERIALIZED (
+  SELECT lang, 1 AS size, word AS phrase, count(*) AS n FROM m GROUP BY ALL
+  UNION ALL SELECT lang, 2, word || ' ' || b, count(*) FROM m WHERE b IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, word || ' ' || b || ' ' || c, count(*) FROM m WHERE c IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 4, word || ' ' || b || ' ' || c || ' ' || d, count(*) FROM m WHERE d IS NOT NULL GROUP BY ALL),
+t AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS words, n AS a FROM f WHERE size > 1 AND n >= 30),
+cut AS (
+  SELECT c.lang, c.size, c.phrase, c.a, x.n AS l, y.n AS r, k,
+         (2000000::HUGEINT * c.a) // (x.n::HUGEINT + y.n) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.size = k AND x.phrase = array_to_string(words[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.size = c.size - k AND y.phrase = array_to_string(words[k + 1:], ' ')),
+s AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, size, phrase ORDER BY score, k) = 1),
+inner_of AS (
+  SELECT lang, short, array_to_string(words[i:i + short - 1], ' ') AS phrase, a
+  FROM (SELECT *, unnest(range(1, size - short + 2)) AS i
+        FROM (SELECT *, unnest(range(2, size)) AS short FROM c))),
+gone AS (SELECT DISTINCT c.lang, c.size, c.phrase FROM c JOIN inner_of o ON o.lang = c.lang AND o.short = c.size AND o.phrase = c.phrase
+         WHERE 100::HUGEINT * o.a >= 80::HUGEINT * c.a),
+k AS (SELECT * FROM s ANTI JOIN gone USING (lang, size, phrase))
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, t.n AS n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM k) JOIN t USING (lang)
+WHERE rank <= 2000
+"""
+
 #: Shards and metadata dimensions of the sharded documents.
 SHARDS, SHARD_DIMENSIONS = 8, ["lang", "source", "n_chars"]
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ordered
 from ..session import shared_dir
+from .common import materialise
 
 #: Bits of a cell number in one dimension; characters of a text column that are compared.
 BITS, PREFIX = 5, 64
@@ -86,7 +87,7 @@ def equal_depth_cuts(df: DataFrame, column: str, cells: int) -> list[tuple[objec
 
     A value's cell is 1 + its number of smaller known values * ``cells`` // number of known values.
     """
-    counts = df.select(_key(df, column).alias("v")).where("v is not null").groupBy("v").agg(F.count("*").alias("n"))
+    counts = materialise(df.select(_key(df, column).alias("v")).where("v is not null").groupBy("v").agg(F.count("*").alias("n")), "counts")
     below = ordered.running(counts, ["v"], "n", "below")
     total = below.agg(F.sum("n")).first()[0]
     if not total:
