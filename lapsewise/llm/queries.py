@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, collocations, decontamination, language_model, neighbours, packing, quality, sharding, simhash, substrings, token_files, toxicity
+from . import alignment, chat, collocations, decontamination, language_model, neighbours, packing, quality, sharding, simhash, substrings, token_files, toxicity
 from .labelled import fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,6 +148,14 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC
 WHERE rank <= 2000
 """
 
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers on all documents, aligned; no SQL (tokenizers): tested against a direct alignment."""
+    aligned = alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256)).alias("groups_sha256")
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
 #: Shards and metadata dimensions of the sharded documents.
 SHARDS, SHARD_DIMENSIONS = 8, ["lang", "source", "n_chars"]
 
