@@ -163,7 +163,7 @@ SHARDS, SHARD_DIMENSIONS = 8, ["lang", "source", "n_chars"]
 @query
 def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight runs of a Hilbert curve over language, source and length."""
-    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARD_DIMENSIONS, SHARDS, tie=["doc_id", "text"])
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARD_DIMENSIONS, SHARDS, tie=["doc_id"])
     utf8 = F.coalesce("text", F.lit("")).cast("binary")
     return placed.select("doc_id", (F.octet_length(utf8) + 1).cast("long").alias("size"), F.crc32(utf8).alias("text_crc32"),
                          F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -191,8 +191,8 @@ def _hilbert_sql() -> str:
     return f"""
 WITH curve(state, label, w, after) AS (VALUES {table}),
 crc AS (SELECT {crc}::BIGINT[] AS t),
-cells AS (SELECT doc_id, coalesce(text, '') AS text, text AS original, {cell}, 0::BIGINT AS place, 0 AS state FROM documents){levels},
-r AS (SELECT *, row_number() OVER (ORDER BY place, doc_id NULLS FIRST, original NULLS FIRST) - 1 AS r, count(*) OVER () AS total FROM l{bits - 1}),
+cells AS (SELECT doc_id, coalesce(text, '') AS text, {cell}, 0::BIGINT AS place, 0 AS state FROM documents){levels},
+r AS (SELECT *, row_number() OVER (ORDER BY place, doc_id NULLS FIRST) - 1 AS r, count(*) OVER () AS total FROM l{bits - 1}),
 s AS (SELECT *, r * {SHARDS} // total AS shard FROM r)
 SELECT doc_id, (strlen(text) + 1)::BIGINT AS size,
        xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda b: ('0x' || b)::BIGINT)),

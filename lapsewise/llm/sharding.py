@@ -110,8 +110,9 @@ def write_shards(docs: DataFrame, path: str, dimensions: list[str], shards: int,
     """Write all rows and columns of ``docs`` to ``path`` in curve order, cut into ``shards`` runs whose row counts differ by one at most.
 
     ``dimensions``: two or more metadata columns; a null is a cell of its own.
-    Rows of one place are in the order of the ``tie`` columns (nulls first),
-    and beyond that as they are read: equal rows may lie in several shards.
+    Rows of one place are in the order of the ``tie`` columns (nulls first; take
+    short ones, for range bounds are sampled from them on the driver), and
+    beyond that as they are read: equal rows may lie in several shards.
     No rows give empty shards.  Helper columns start with ``__``; columns of
     ``docs`` must not be named like them (``__slice``, ``__place``, ``__curve``,
     ``__tie``); ``shard`` and ``slot`` of ``docs`` are replaced on reading.
