@@ -16,6 +16,7 @@ to each piece's own pairs beyond that.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 import numpy as np
@@ -25,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import give_back, materialise, prepare, utf8
-from .tokens import BYTE_LEVEL, Encoder, id_type
+from .common import claim, give_back, materialise, prepare, utf8
+from .tokens import BYTE_LEVEL, LETTERS, PUNCTUATION, Encoder, id_type
 
+#: Characters of a word from which it goes to the tokenizer's own library, whose merging doesn't slow down.
+LONG_WORD = 500
 #: Merge steps (tokens of both sides) in a piece; bytes of pair counts that are broadcast at most, at 17 a pair.
 PIECE_STEPS, TABLE_BYTES = 1 << 20, 32 << 20
 
@@ -52,6 +55,7 @@ class Vocabularies:
 
     @classmethod
     def of(cls, path_a: str, path_b: str) -> Vocabularies:
+        claim("alignment", cls._open)
         if (path_a, path_b) not in cls._open:
             cls._open.clear()
             cls._open[path_a, path_b] = cls(path_a, path_b)
@@ -63,17 +67,41 @@ class Vocabularies:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(path_a)
-        self.path_a, self.type_a = path_a, id_type(path_a)
+        self.type_a = id_type(path_a)
+        self.a = Encoder(path_a, self.type_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.type_b = "<u2" if self.b.get_piece_size() <= 1 << 16 else "<u4"
         byte = {chr(c): b for b, c in BYTE_LEVEL.items()} | {chr(b): b for b in range(256) if b not in BYTE_LEVEL}
         names = [whole.id_to_token(i) or "" for i in range(whole.get_vocab_size(with_added_tokens=True))]
         self.bytes_a = [bytes(byte[c] for c in x) if all(c in byte for c in x) else x.encode() for x in names]
         self.bytes_b = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        # decimal ids with what follows them: inside a side, and at the end of a group's side
-        self.text = [f"{i}{end}" for i in range(len(self.bytes_a)) for end in ",|"] + [f"{i}{end}" for i in range(len(self.bytes_b)) for end in ",;"]
+        self.len_a = np.array([len(x) for x in self.bytes_a], np.int32)
+        self.len_b = np.array([len(x) for x in self.bytes_b], np.int32)
+        self.plain = re.compile(f"[{LETTERS}0-9{PUNCTUATION} \n]*").fullmatch
+        self.ranks = self._ranks(whole)
+        # decimal ids with what follows them: inside a side, at its end, and at the end of a text
+        names = [f"{i}{end}" for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for end in ends for i in range(n)]
+        names += [str(i) for i in range(len(self.bytes_b))]
+        self.name_lengths = np.array([len(x) for x in names], np.int32)
+        self.names = np.array(names, "S").view(np.uint8).reshape(len(names), -1)  # padded with zero bytes
+
+    def _ranks(self, whole):
+        """The byte-level model for plain texts, where it merges in the order of its ids and cuts words as its library does; else None."""
+        import json
+
+        import public_tokenizers
+        import tiktoken
+
+        spec = json.loads(whole.to_str())
+        ids = whole.get_vocab(with_added_tokens=False)
+        merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in spec["model"]["merges"]]
+        order = [ids[m] for m in merged]
+        cuts = spec["pre_tokenizer"] or {}
+        if spec["normalizer"] or order != sorted(order) or cuts.get("type") != "ByteLevel" or cuts.get("add_prefix_space") or not cuts.get("use_regex", True):
+            return None
+        if {bytes([b]) for b in range(256)} - set(self.bytes_a) or any(ids[x] > order[0] for x in ids if len(x) == 1):
+            return None
+        return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks={self.bytes_a[i]: i for i in ids.values() if self.bytes_a[i]}, special_tokens={})
 
     @staticmethod
     def _piece(piece: str) -> bytes:
@@ -83,13 +111,15 @@ class Vocabularies:
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both sides, or None where a side doesn't give the text's bytes back."""
-        whole = " " + text
-        a = np.frombuffer(Encoder.of(self.path_a, self.type_a).encode(whole), self.type_a)
-        b = np.array(self.b.encode(text), self.type_b)
-        whole = whole.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a.tolist())) != whole or b"".join(map(self.bytes_b.__getitem__, b.tolist())) != whole:
+        whole, b = " " + text, self.b.encode(text)
+        if b"".join([self.bytes_b[i] for i in b]) != whole.encode():
             return None
-        return a, b
+        if self.ranks and self.plain(text) and max(map(len, text.split(" "))) < LONG_WORD:
+            a = np.array(self.ranks.encode_ordinary(whole), self.type_a)
+        else:
+            a = np.frombuffer(self.a.encode(whole), self.type_a)
+        # the byte-level side cuts the very bytes, so their number tells
+        return (a, np.array(b, self.type_b)) if int(self.len_a[a].sum()) == len(whole.encode()) else None
 
 
 def diagonal(a: np.ndarray, b: np.ndarray, step: int) -> tuple[int, int]:
@@ -176,8 +206,10 @@ class Overlaps:
         self.width = len(words.bytes_b)
         self.a, self.b = _from_planes(row["a"], words.type_a), _from_planes(row["b"], words.type_b)
         self.n_a, self.n_b = sum(row["n_a"]), sum(row["n_b"])
-        ends_a = row["base_a"] + np.cumsum(words.len_a[self.a[: self.n_a]])
-        ends_b = row["base_b"] + np.cumsum(words.len_b[self.b[: self.n_b]])
+        # offsets from the piece's first byte, which small integers hold
+        low = min(row["base_a"], row["base_b"])
+        ends_a = np.cumsum(words.len_a[self.a[: self.n_a]], dtype=np.int32) + np.int32(row["base_a"] - low)
+        ends_b = np.cumsum(words.len_b[self.b[: self.n_b]], dtype=np.int32) + np.int32(row["base_b"] - low)
         first_b = np.searchsorted(ends_b, ends_a)  # the B token that an A end lies in; beyond the piece the next one
         self.common_a, self.common_b = np.zeros(self.n_a, bool), np.zeros(self.n_b, bool)
         inside = first_b < self.n_b
@@ -188,57 +220,84 @@ class Overlaps:
         self.pairs_a = self.a[: self.n_a] * self.width + self.b[first_b]
         self.pairs_b = self.a[first_a] * self.width + self.b[self.only_b]
 
-    def texts(self, words: Vocabularies) -> list[str]:
-        """The ids that end in the piece with what follows each, group by group, A before B."""
+    def names(self, words: Vocabularies, last: np.ndarray) -> np.ndarray:
+        """The ids that end in the piece as numbers of names, group by group, A before B; ``last``: B tokens that end a text."""
         group_a = np.cumsum(self.common_a) - self.common_a
         group_b = np.cumsum(self.common_b) - self.common_b
         firsts_b = np.append(0, np.flatnonzero(self.common_b) + 1)  # first B token of each group
         ends_a = np.append(np.flatnonzero(self.common_a) + 1, self.n_a)  # A tokens up to each group's end
+        size_a, size_b = len(words.bytes_a), len(words.bytes_b)
+        name_b = self.b[: self.n_b] + size_b * self.common_b
+        name_b[last] += size_b
         out = np.empty(self.n_a + self.n_b, np.int64)
-        out[np.arange(self.n_a) + firsts_b[group_a]] = self.a[: self.n_a] * 2 + self.common_a
-        out[np.arange(self.n_b) + ends_a[group_b]] = 2 * len(words.bytes_a) + self.b[: self.n_b] * 2 + self.common_b
-        return list(map(words.text.__getitem__, out.tolist()))
+        out[np.arange(self.n_a) + firsts_b[group_a]] = self.a[: self.n_a] + size_a * self.common_a
+        out[np.arange(self.n_b) + ends_a[group_b]] = name_b + 2 * size_a
+        return out
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(np.concatenate([self.pairs_a, self.pairs_b]), return_counts=True)
 
 
-def _sums(row: dict, o: Overlaps, keys: np.ndarray, counts: np.ndarray, best: np.ndarray) -> dict[str, np.ndarray]:
-    """Per document of the piece: its sums, given the corpus counts of id pairs in the order of ``keys``."""
+def spell(words: Vocabularies, names: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Texts made of the names between each two edges."""
+    raw = words.names[names].reshape(-1)
+    ends = np.concatenate([[0], np.cumsum(words.name_lengths[names], dtype=np.int64)])[edges]
+    return pa.StringArray.from_buffers(len(edges) - 1, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw[raw != 0]))
+
+
+class Counts:
+    """Corpus counts of id pairs, found by a table of their hashes; pairs that share a place are searched."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, best: np.ndarray):
+        self.keys, self.counts, self.best = keys, counts, best
+        self.shift = np.uint64(64 - max(16, int(len(keys)).bit_length() + 5))
+        self.place = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.place[self._hash(keys)] = np.arange(len(keys))
+
+    def _hash(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self.place[self._hash(keys)]
+        miss = np.flatnonzero(self.keys[at] != keys) if len(keys) else np.zeros(0, np.int64)
+        at[miss] = np.searchsorted(self.keys, keys[miss])
+        return at
+
+
+def _sums(row: dict, o: Overlaps, table: Counts) -> dict[str, np.ndarray]:
+    """Per document of the piece: its sums, given the corpus counts of id pairs."""
     edges_a, edges_b = np.cumsum([0, *row["n_a"]]), np.cumsum([0, *row["n_b"]])
 
     def between(values, edges):
-        total = np.concatenate([[0], np.cumsum(values)])
+        total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
         return total[edges[1:]] - total[edges[:-1]]
 
-    at_a, at_b = np.searchsorted(keys, o.pairs_a), np.searchsorted(keys, o.pairs_b)
-    spread = np.zeros((2, o.n_b), np.int64)
-    spread[0, o.only_b], spread[1, o.only_b] = counts[at_b], best[at_b]
+    at_a, at_b = table.find(o.pairs_a), table.find(o.pairs_b)
+    only_b = np.searchsorted(o.only_b, edges_b)
     n_a, n_b, groups = np.diff(edges_a), np.diff(edges_b), between(o.common_a, edges_a)
     return {"n_a": n_a, "n_b": n_b, "n_groups": groups, "n_links": n_a + n_b - groups,
-            "n_best": between(best[at_a].astype(np.int64), edges_a) + between(spread[1], edges_b),
-            "count_sum": between(counts[at_a], edges_a) + between(spread[0], edges_b)}
+            "n_best": between(table.best[at_a], edges_a) + between(table.best[at_b], only_b),
+            "count_sum": between(table.counts[at_a], edges_a) + between(table.counts[at_b], only_b)}
 
 
-def _score(words: Vocabularies, row: dict, keys: np.ndarray, counts: np.ndarray, best: np.ndarray) -> pa.Table:
+def _score(words: Vocabularies, row: dict, table: Counts) -> pa.Table:
     """A piece's documents, or a cut document's part with its loose ends."""
     o = Overlaps(words, row)
-    sums = _sums(row, o, keys, counts, best)
-    texts = o.texts(words)
+    sums = _sums(row, o, table)
     values = {"doc_id": row["doc_ids"], **sums}
     if not row["cut"]:
-        edges = np.cumsum(np.concatenate([[0], sums["n_a"] + sums["n_b"]])).tolist()
-        values["groups"] = ["".join(texts[s:e])[:-1] for s, e in zip(edges[:-1], edges[1:], strict=True)]
+        lasts = np.cumsum(row["n_b"])[np.array(row["n_b"]) > 0] - 1
+        values["groups"] = spell(words, o.names(words, lasts), np.cumsum(np.concatenate([[0], sums["n_a"] + sums["n_b"]])))
     else:
+        names = o.names(words, np.zeros(0, np.int64))
+        text = lambda s, e: spell(words, names[s:e], np.array([0, e - s]))[0].as_py()
         common_a, common_b = np.flatnonzero(o.common_a), np.flatnonzero(o.common_b)
-        first = int(common_a[0] + common_b[0]) + 2 if len(common_a) else len(texts)
-        last = int(common_a[-1] + common_b[-1]) + 2 if len(common_a) else len(texts)
-        # a side's part is its ids with commas; the mark after a closing id goes, as the group isn't whole here
-        n_head = int(common_a[0]) + 1 if len(common_a) else o.n_a
-        head, tail, n_tail = texts[:first], texts[last:], o.n_a - int(common_a[-1]) - 1 if len(common_a) else 0
-        sides = lambda x, n: ["".join(t.rstrip(",|;") + "," for t in part) for part in (x[:n], x[n:])]
-        values |= {"row": row["rows"], "piece": [row["piece"]], "head": [[*sides(head, n_head), "closed" if len(common_a) else "open"]],
-                   "body": ["".join(texts[first:last])], "tail": [sides(tail, n_tail)]}
+        n, closed = len(names), len(common_a) > 0
+        first, last = (int(common_a[k] + common_b[k]) + 2 if closed else n for k in (0, -1))  # names up to the first and to the last common offset
+        head_a, tail_a = (int(common_a[0]) + 1, last + o.n_a - int(common_a[-1]) - 1) if closed else (o.n_a, n)
+        # a side's part is its ids with commas, as its group isn't whole here
+        values |= {"row": row["rows"], "piece": [row["piece"]], "body": [text(first, last)], "tail": [[text(last, tail_a), text(tail_a, n)]],
+                   "head": [[text(0, head_a).replace("|", ","), text(head_a, first).replace(";", ","), "closed" if closed else "open"]]}
     return pa.table({f.name: pa.array(values[f.name], f.type) for f in (_PARTS if row["cut"] else _ALIGNED)})
 
 
@@ -294,10 +353,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
 
         def scored(wanted, schema):
             def score(tables):
-                words = Vocabularies.of(path_a, path_b)
+                words, counts = Vocabularies.of(path_a, path_b), Counts(*table.value)
                 for batch in tables:
                     for row in batch.to_pylist():
-                        yield from _score(words, row, *table.value).to_batches()
+                        yield from _score(words, row, counts).to_batches()
                     give_back()
             return pieces.where(F.col("cut") == wanted).mapInArrow(score, schema)
     else:
@@ -308,7 +367,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
                 if not piece.num_rows:
                     return (_PARTS if wanted else _ALIGNED).empty_table()
                 words, got = Vocabularies.of(path_a, path_b), got.sort_by("pair")
-                return _score(words, piece.to_pylist()[0], *(got[c].to_numpy() for c in ("pair", "n", "best")))
+                return _score(words, piece.to_pylist()[0], Counts(*(got[c].to_numpy() for c in ("pair", "n", "best"))))
             return pieces.where(F.col("cut") == wanted).groupBy("piece").cogroup(answers.groupBy("of")).applyInArrow(score, schema)
 
     return scored(False, ALIGNED).union(scored(True, PARTS).groupBy("row").applyInArrow(_stitch, ALIGNED))
