@@ -35,10 +35,10 @@ LONG_WORD = 500
 PIECE_STEPS, TABLE_BYTES = 1 << 20, 32 << 20
 
 PIECES = ("piece long, cut boolean, rows array<bigint>, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, "
-          "base_a long, base_b long, a binary, b binary")
+          "base_a long, base_b long, a binary, b binary, pairs array<bigint>, counts array<bigint>")
 _PIECES = pa.schema([("piece", pa.int64()), ("cut", pa.bool_()), ("rows", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())),
                      ("n_a", pa.list_(pa.int64())), ("n_b", pa.list_(pa.int64())), ("base_a", pa.int64()), ("base_b", pa.int64()),
-                     ("a", pa.binary()), ("b", pa.binary())])
+                     ("a", pa.binary()), ("b", pa.binary()), ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 #: A cut document's part: its loose ends before the first and after the last common offset, and the whole groups between.
 PARTS = ALIGNED.replace("groups string", "row long, piece long, head array<string>, body string, tail array<string>")
@@ -77,7 +77,8 @@ class Vocabularies:
         self.bytes_b = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int32)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int32)
-        self.plain = re.compile(f"[{LETTERS}0-9{PUNCTUATION} \n]*").fullmatch
+        solid = f"[{LETTERS}0-9{PUNCTUATION}\n]{{0,{LONG_WORD}}}+"
+        self.plain = re.compile(f"(?:{solid} )*+{solid}").fullmatch
         self.ranks = self._ranks(whole)
         # decimal ids with what follows them: inside a side, at its end, and at the end of a text
         names = [f"{i}{end}" for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for end in ends for i in range(n)]
@@ -114,7 +115,7 @@ class Vocabularies:
         whole, b = " " + text, self.b.encode(text)
         if b"".join([self.bytes_b[i] for i in b]) != whole.encode():
             return None
-        if self.ranks and self.plain(text) and max(map(len, text.split(" "))) < LONG_WORD:
+        if self.ranks and self.plain(text):
             a = np.array(self.ranks.encode_ordinary(whole), self.type_a)
         else:
             a = np.frombuffer(self.a.encode(whole), self.type_a)
@@ -143,13 +144,14 @@ def _planes(ids: np.ndarray) -> bytes:
 
 def _from_planes(raw: bytes, dtype: str) -> np.ndarray:
     width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(dtype).reshape(-1).astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(dtype).reshape(-1)
 
 
 def cut_pieces(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str, steps: int) -> DataFrame:
     """Rows of ``PIECES``: the whole documents between two cuts, or the part of a cut document between two cuts.
 
     A part's ids are those that end in it, and the next one of either side.
+    ``pairs`` and ``counts``: the id pairs of the piece's overlaps.
     """
     prepare(docs.sparkSession)
 
@@ -162,7 +164,8 @@ def cut_pieces(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col:
         def close(split, rows, names, n_a, n_b, base_a, base_b, a, b):
             nonlocal number
             number += 1
-            values = ((task << 33) + number, split, rows, names, n_a, n_b, base_a, base_b, _planes(a), _planes(b))
+            o = Overlaps(words, a, b, sum(n_a), sum(n_b), base_a, base_b)
+            values = ((task << 33) + number, split, rows, names, n_a, n_b, base_a, base_b, _planes(a), _planes(b), *o.distinct())
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _PIECES, strict=True)], schema=_PIECES)
 
         def whole():
@@ -200,16 +203,15 @@ def cut_pieces(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col:
 
 
 class Overlaps:
-    """The overlaps of a piece: ``pairs_a``, one for the end of every A token, and ``pairs_b``, for every B end that is no A end."""
+    """The overlaps of a piece, given its ids and how many of them end in it: ``pairs_a``, one for the end of every A token, and ``pairs_b``, for every B end that is no A end."""
 
-    def __init__(self, words: Vocabularies, row: dict):
-        self.width = len(words.bytes_b)
-        self.a, self.b = _from_planes(row["a"], words.type_a), _from_planes(row["b"], words.type_b)
-        self.n_a, self.n_b = sum(row["n_a"]), sum(row["n_b"])
+    def __init__(self, words: Vocabularies, a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, base_a: int, base_b: int):
+        self.a, self.b, self.n_a, self.n_b = a.astype(np.int64), b.astype(np.int64), n_a, n_b
+        width = len(words.bytes_b)
         # offsets from the piece's first byte, which small integers hold
-        low = min(row["base_a"], row["base_b"])
-        ends_a = np.cumsum(words.len_a[self.a[: self.n_a]], dtype=np.int32) + np.int32(row["base_a"] - low)
-        ends_b = np.cumsum(words.len_b[self.b[: self.n_b]], dtype=np.int32) + np.int32(row["base_b"] - low)
+        low = min(base_a, base_b)
+        ends_a = np.cumsum(words.len_a[a[:n_a]], dtype=np.int32) + np.int32(base_a - low)
+        ends_b = np.cumsum(words.len_b[b[:n_b]], dtype=np.int32) + np.int32(base_b - low)
         first_b = np.searchsorted(ends_b, ends_a)  # the B token that an A end lies in; beyond the piece the next one
         self.common_a, self.common_b = np.zeros(self.n_a, bool), np.zeros(self.n_b, bool)
         inside = first_b < self.n_b
@@ -217,8 +219,8 @@ class Overlaps:
         self.common_b[first_b[self.common_a]] = True
         self.only_b = np.flatnonzero(~self.common_b)
         first_a = np.searchsorted(ends_a, ends_b[self.only_b])
-        self.pairs_a = self.a[: self.n_a] * self.width + self.b[first_b]
-        self.pairs_b = self.a[first_a] * self.width + self.b[self.only_b]
+        self.pairs_a = self.a[:n_a] * width + self.b[first_b]
+        self.pairs_b = self.a[first_a] * width + self.b[self.only_b]
 
     def names(self, words: Vocabularies, last: np.ndarray) -> np.ndarray:
         """The ids that end in the piece as numbers of names, group by group, A before B; ``last``: B tokens that end a text."""
@@ -282,7 +284,7 @@ def _sums(row: dict, o: Overlaps, table: Counts) -> dict[str, np.ndarray]:
 
 def _score(words: Vocabularies, row: dict, table: Counts) -> pa.Table:
     """A piece's documents, or a cut document's part with its loose ends."""
-    o = Overlaps(words, row)
+    o = Overlaps(words, _from_planes(row["a"], words.type_a), _from_planes(row["b"], words.type_b), sum(row["n_a"]), sum(row["n_b"]), row["base_a"], row["base_b"])
     sums = _sums(row, o, table)
     values = {"doc_id": row["doc_ids"], **sums}
     if not row["cut"]:
@@ -318,6 +320,12 @@ def _stitch(table):
     return pa.table({f.name: pa.array([whole[f.name]], f.type) for f in _ALIGNED})
 
 
+def piece_vocabulary(path: str) -> int:
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path).get_piece_size()
+
+
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
           steps: int = PIECE_STEPS, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """``ALIGNED`` for every row: a byte-level vocabulary ``path_a`` on space and text, a sentencepiece model ``path_b`` on the text.
@@ -335,16 +343,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     cut_pieces(docs, path_a, path_b, id_col, text_col, steps).write.option("compression", "zstd").parquet(path)
     pieces = spark.read.schema(PIECES).parquet(path)
 
-    def each(tables):
-        words = Vocabularies.of(path_a, path_b)
-        for batch in tables:
-            for row in batch.to_pylist():
-                keys, counts = Overlaps(words, row).distinct()
-                yield pa.RecordBatch.from_pydict({"piece": pa.array(np.full(len(keys), row["piece"]), pa.int64()), "pair": pa.array(keys, pa.int64()),
-                                                  "b": pa.array(keys % len(words.bytes_b), pa.int64()), "n": pa.array(counts, pa.int64())})
-
-    asked = materialise(pieces.mapInArrow(each, "piece long, pair long, b long, n long"), "pairs")
-    counts = materialise(asked.groupBy("pair", "b").agg(F.sum("n").alias("n")), "pair-counts")
+    bodies = pieces.drop("pairs", "counts")
+    width = F.lit(piece_vocabulary(path_b))
+    asked = pieces.select("piece", F.inline(F.arrays_zip("pairs", "counts")).alias("pair", "n"))
+    counts = materialise(asked.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("b", F.col("pair") % width), "pair-counts")
     highest = counts.groupBy("b").agg(F.max("n").alias("top"))
     found = counts.join(highest, "b").select("pair", "n", (F.col("n") == F.col("top")).alias("best"))
     if counts.count() * 17 <= table_bytes:
@@ -358,7 +360,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
                     for row in batch.to_pylist():
                         yield from _score(words, row, counts).to_batches()
                     give_back()
-            return pieces.where(F.col("cut") == wanted).mapInArrow(score, schema)
+            return bodies.where(F.col("cut") == wanted).mapInArrow(score, schema)
     else:
         answers = asked.select("piece", "pair").join(found, "pair").select(F.col("piece").alias("of"), "pair", "n", "best")
 
@@ -368,6 +370,6 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
                     return (_PARTS if wanted else _ALIGNED).empty_table()
                 words, got = Vocabularies.of(path_a, path_b), got.sort_by("pair")
                 return _score(words, piece.to_pylist()[0], Counts(*(got[c].to_numpy() for c in ("pair", "n", "best"))))
-            return pieces.where(F.col("cut") == wanted).groupBy("piece").cogroup(answers.groupBy("of")).applyInArrow(score, schema)
+            return bodies.where(F.col("cut") == wanted).groupBy("piece").cogroup(answers.groupBy("of")).applyInArrow(score, schema)
 
     return scored(False, ALIGNED).union(scored(True, PARTS).groupBy("row").applyInArrow(_stitch, ALIGNED))
