@@ -46,6 +46,25 @@ def policy_rules(as_of: dt.date, low_premium: float = K.UNRELIABLE_PREMIUM_BELOW
     }
 
 
+def flag_rules(as_of: dt.date) -> dict[str, dict]:
+    """The flag columns of the cleaned tables and the rules they stand for."""
+    return {
+        "policies": policy_rules(as_of),
+        "customers": {"is_invalid_age": (F.col("customer_age") < K.MIN_VALID_AGE) | (F.col("customer_age") > K.MAX_VALID_AGE)},
+        "policy_events": {"is_first_event": F.col("previous_status").isNull()},
+        "premium_payments": {"is_invalid_amount": F.col("premium_amount") < 0},
+    }
+
+
+def clean_rules() -> dict[str, dict]:
+    """Rules checked after cleaning that have no flag column: the agents of
+    policies, as the validation writes them and as the exploration means them."""
+    agent, own = F.col("agent_id"), F.col("channel_id") == K.DEFAULT_AGENT_CHANNEL
+    return {"policies": {"agent_channel_without_agent": own & agent.isNull(),
+                         "other_channel_without_agent": ~own & agent.isNull(),
+                         "agent_on_other_channel": ~own & agent.isNotNull()}}
+
+
 def clean_policies_base(policies: DataFrame, as_of: dt.date) -> DataFrame:
     """Policies cleaned up to (not including) the status refresh."""
     df = C.impute_case(policies, "agent_id", "channel_id", K.AGENT_BY_CHANNEL, K.UNKNOWN_AGENT)

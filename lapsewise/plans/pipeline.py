@@ -21,12 +21,15 @@ from ..functions import constants as K
 from ..session import shared_dir
 from ..sources import adapter
 from ..sources.io import read_layer, write_layer
+from ..sources.measured import read_checks, write_measured
 from . import cleaning
 from .features import build_customer_features, build_policy_features
 
 CLEAN_TABLES = ("customers", "agents", "channels", "products", "dates", "policies", "policy_events",
                 "premium_payments")
 
+LAYER_TABLES = {"features/policies": "policy_features", "features/customers": "customer_features"}
+
 _RUN = uuid.uuid4().hex[:12]
 _LOCK = threading.RLock()
 _MODELS: dict[tuple, "Model"] = {}
@@ -36,7 +39,8 @@ class Model:
     """The cleaned and feature tables of one input directory."""
 
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame], as_of: dt.date,
-                 timings: dict[str, float] | None = None):
+                 timings: dict[str, float] | None = None, checks: DataFrame | None = None):
+        self.checks = checks  # what the layers' writes have measured; None without layers
         self.spark = spark
         self.tables = tables
         self.as_of = as_of
@@ -71,17 +75,22 @@ def lazy_model(spark: SparkSession, sf_dir: str, as_of: dt.date = K.FIXTURE_AS_O
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: dt.date,
                  concurrent_jobs: int = 4) -> Model:
-    """Clean and feature stages, each written to ``root`` and read back.
+    """Clean and feature stages, each written to ``root``, measured as it is
+    written, and read back.
 
     Stages that do not depend on each other are submitted as concurrent Spark
     jobs (``concurrent_jobs`` driver threads), so small stages share the
     executors instead of running one after another."""
     timings: dict[str, float] = {}
+    flags, rules = cleaning.flag_rules(as_of), cleaning.clean_rules()
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         t0 = time.perf_counter()
         spark.sparkContext.setJobDescription(f"lapsewise stage {name}")  # labels the jobs in event logs
-        write_layer(df, root, name)
+        kind, _, table = name.partition("/")
+        clean = kind == "clean"
+        write_measured(df, root, name, table=table if clean else LAYER_TABLES[name],
+                       flags=flags.get(table) if clean else None, rules=rules.get(table) if clean else None)
         timings[name] = round(time.perf_counter() - t0, 3)
         return read_layer(spark, root, name)
 
@@ -117,7 +126,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
     pf = stage("features/policies", build_policy_features(t["policies"], t["premium_payments"],
                                                           t["policy_events"], t["dates"], as_of))
     cf = stage("features/customers", build_customer_features(t["customers"], pf, t["policy_events"]))
-    return Model(spark, {**t, "policy_features": pf, "customer_features": cf}, as_of, timings)
+    checks = read_checks(spark, root, [*first, "clean/policies", *LAYER_TABLES])
+    return Model(spark, {**t, "policy_features": pf, "customer_features": cf}, as_of, timings, checks)
 
 
 def run_from_csv(spark: SparkSession, csv_paths: dict[str, str], root: str, as_of: dt.date = K.REFERENCE_AS_OF,
