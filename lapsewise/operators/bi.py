@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as fx
 from ..functions import constants as K
 from . import kpi
+from .sheets import N_KEYS, Sheet, sheet_rows
 
 P = F.col
 
@@ -72,10 +73,13 @@ def customer_status_distribution(customers: DataFrame) -> DataFrame:
     return kpi.by_measure(g, "customers", "customer_latest_status")
 
 
+def early_default_label() -> Column:
+    return F.when(P("is_early_defaulted"), K.EARLY_DEFAULTED).otherwise(K.NOT_EARLY_DEFAULT)
+
+
 def early_default_split(policies: DataFrame) -> DataFrame:
     """Lapsed policies split by the early-default label."""
-    label = F.when(P("is_early_defaulted"), K.EARLY_DEFAULTED).otherwise(K.NOT_EARLY_DEFAULT)
-    return policies.groupBy(label.alias("early_default_status")).agg(lapsed_count().alias("total_lapsed_policies"))
+    return policies.groupBy(early_default_label().alias("early_default_status")).agg(lapsed_count().alias("total_lapsed_policies"))
 
 
 def sum_by(bi: DataFrame, by: str, measure: str, name: str) -> DataFrame:
@@ -229,7 +233,8 @@ def dashboard_rows(sheets: dict[str, DataFrame], name: str) -> DataFrame:
 
 def dashboard_tables(name: str, bi: DataFrame, policies: DataFrame, customers: DataFrame, events: DataFrame,
                      as_of: dt.date) -> dict[str, DataFrame]:
-    """The worksheets of one dashboard, by name."""
+    """The worksheets of one dashboard as frames of their own, by name;
+    ``dashboard`` gives the same numbers from one pass over each layer."""
     if name == "Executive":
         return {"kpis": executive_tiles(policies, customers, events, as_of),
                 "premium_composition": kpi.premium_composition(policies),
@@ -249,3 +254,80 @@ def dashboard_tables(name: str, bi: DataFrame, policies: DataFrame, customers: D
                 "acquisition_cost_by_channel": acquisition_cost_by_channel(bi),
                 "unrealised_by_product": sum_by(bi, "product_name", "unrealised_premium_value", "unrealised_premium")}
     raise ValueError(f"unknown dashboard {name!r}")
+
+
+def _policy_sums() -> dict[str, Column]:
+    """What the sheets over policies add up."""
+    return {"n": F.count("policy_id"), "active": fx.count_where(kpi.is_status(K.ACTIVE)), "lapsed": lapsed_count(),
+            "lapsed_after_grace": fx.count_where(kpi.is_status(K.LAPSED) & P("is_lapsed_after_grace")),
+            "early_defaulted": fx.count_where(kpi.is_status(K.LAPSED) & P("is_early_defaulted")),
+            "cost": F.sum("cost_spent"), "lapsed_cost": F.sum(kpi.lapsed_cost()),
+            "cost_at_risk": F.sum(F.when(kpi.is_status(K.LAPSED), P("cost_spent"))),
+            "received": F.sum("total_premium_received"), "expected": F.sum("expected_premium_value"),
+            "unrealised": F.sum("unrealised_premium_value")}
+
+
+def _tile(name: str, value: Column) -> tuple[str, str, Column]:
+    return name, "value", value
+
+
+def _customer_sums() -> dict[str, Column]:
+    return {"n": F.count("customer_id"), "renewed": fx.count_where(P("is_renewed_customer")),
+            "active": fx.count_where(kpi.is_status("Active", "customer_latest_status")), "rows": F.count(F.lit(1)),
+            "lapsed": fx.count_where(kpi.is_status("Lapsed", "customer_latest_status"))}
+
+
+def _share(part: str, whole: str = "n") -> Column:
+    return fx.percent(P(part), P(whole))
+
+
+def dashboard(name: str, bi: DataFrame, customers: DataFrame, events: DataFrame, as_of: dt.date) -> DataFrame:
+    """The sheets of one dashboard as rows ``(dashboard, sheet, label,
+    measure, value)``.  Each layer is read once: one grouping-sets aggregate
+    over the policies and one over the customers; the renewal tile gets each
+    policy's renewal from the events by a join on their distinct policies."""
+    cells = lambda **measures: tuple((None, m, c) for m, c in measures.items())
+    policy = lambda sheets, df=bi, **kw: sheet_rows(df, name, sheets, "policy_id", _policy_sums(), **kw)
+    customer = lambda sheets: sheet_rows(customers, name, sheets, "customer_id", _customer_sums())
+    remaining = P("expected") - P("received") - P("unrealised")
+    if name == "Executive":
+        renewed = kpi.renewed_policy_ids(events).select(P("policy_id").alias("__renewed_id"))
+        known = bi.join(renewed, P("policy_id") == P("__renewed_id"), "left")
+        due = kpi.renewal_due(as_of)
+        rate = fx.rate(P("__due_renewed"), P("__due")) / 100
+        return policy([
+            Sheet("kpis", (_tile("persistency_ratio", _share("active")), _tile("total_premium_received_cr", fx.to_crore(P("received"))))),
+            Sheet("kpis", (_tile("policy_renewal_rate", rate),), per_key=True),
+            Sheet("premium_composition", ((K.PREMIUM_COLLECTED, "amount", fx.money(P("received"))),
+                                          (K.PREMIUM_UNREALISED, "amount", fx.money(P("unrealised"))),
+                                          (K.PREMIUM_REMAINING, "amount", fx.money(remaining)))),
+            Sheet("policies_status_overview", cells(policies=P(N_KEYS)), "latest_status", per_key=True),
+            Sheet("acquisition_loss_by_channel", cells(acquisition_loss=fx.money(P("lapsed_cost"))), "channel_name"),
+        ], known, per_key={"__due": F.max(fx.flag(due).cast("int")),
+                           "__due_renewed": F.max(fx.flag(due & P("__renewed_id").isNotNull()).cast("int"))}).unionByName(customer([
+            Sheet("kpis", (_tile("customer_renewal_rate", _share("renewed")),)),
+            Sheet("customer_status_distribution", cells(customers=P(N_KEYS)), "customer_latest_status", per_key=True)]))
+    if name == "Retention":
+        return policy([
+            Sheet("kpis", (_tile("grace_period_lapse", _share("lapsed_after_grace")),
+                           _tile("early_default_rate", fx.fraction(P("early_defaulted"), P("n"))),
+                           _tile("total_lapsed_policies", P("lapsed")))),
+            Sheet("lapse_by_policy_segment", cells(lapse_rate=_share("lapsed")), "tenure_bucket"),
+            Sheet("product_performance", cells(persistency_ratio=_share("active"), lapse_rate=_share("lapsed")), "product_name"),
+            Sheet("early_default_split", cells(total_lapsed_policies=P("lapsed")), "early_default_status"),
+        ], bi.withColumn("early_default_status", early_default_label())).unionByName(customer([
+            Sheet("kpis", (_tile("total_active_customers", P("active")),)),
+            Sheet("lapse_by_customer_segment", cells(lapse_rate=fx.fraction(P("lapsed"), P("rows"))), "age_bucket")]))
+    if name == "Financial":
+        return policy([
+            Sheet("kpis", (_tile("acquisition_cost_at_risk_cr", fx.to_crore(P("cost_at_risk"))),
+                           _tile("remaining_collectable_premium_cr", fx.to_crore(remaining)),
+                           _tile("total_expected_premium_cr", fx.to_crore(P("expected"))),
+                           _tile("total_unrealised_premium_cr", fx.to_crore(P("unrealised"))))),
+            Sheet("channel_comparison", cells(policies=P(N_KEYS), persistency_ratio=_share("active"),
+                                              acquisition_loss=fx.money(P("lapsed_cost"))), "channel_name", per_key=True),
+            Sheet("acquisition_cost_by_channel", cells(acquisition_cost_spent=fx.money(P("cost"))), "channel_name"),
+            Sheet("expected_premium_by_product", cells(expected_premium=fx.money(P("expected"))), "product_name"),
+            Sheet("unrealised_by_product", cells(unrealised_premium=fx.money(P("unrealised"))), "product_name"),
+        ])
+    raise ValueError(f"unknown dashboard {name!r}")

@@ -90,13 +90,16 @@ def renewed_policy_ids(events: DataFrame) -> DataFrame:
     return events.filter(P("is_renewed_event")).select("policy_id").distinct()
 
 
+def renewal_due(as_of: dt.date) -> Column:
+    return (P("expiry_date") <= fx.date_lit(as_of)) & fx.in_set("latest_status", K.RENEWAL_ELIGIBLE_STATUSES)
+
+
 def policy_renewal_rate(policies: DataFrame, events: DataFrame, as_of: dt.date) -> DataFrame:
     """K3: renewed share of the renewal-eligible policies (expired by the as-of
     date, still active/matured/claimed); null when none is eligible.  Both
     sides are de-duplicated before the join, so the two distinct counts of the
     workload become plain conditional counts."""
-    eligible = policies.filter((P("expiry_date") <= fx.date_lit(as_of))
-                               & fx.in_set("latest_status", K.RENEWAL_ELIGIBLE_STATUSES))
+    eligible = policies.filter(renewal_due(as_of))
     renewed = renewed_policy_ids(events).withColumn("__renewed", F.lit(True))
     j = eligible.select("policy_id").distinct().join(renewed, "policy_id", "left")
     return j.agg(fx.rate(fx.count_where(P("__renewed")), F.count("policy_id")).alias("policy_renewal_rate"))
@@ -163,8 +166,12 @@ def channel_sales(policies: DataFrame) -> DataFrame:
 
 
 def top_segments(df: DataFrame, measure: str, k: int, tie_break: str) -> DataFrame:
-    """The k best segments by a measure (a top-k report; the limit is the feature)."""
-    return df.orderBy(F.desc(measure), F.asc(tie_break)).limit(k)
+    """The segments that share the k best places by a measure, best first;
+    ties share a place, so none of them is dropped.  ``df`` has a row per
+    segment, which is all that the window ranks."""
+    place = F.rank().over(Window.orderBy(F.desc_nulls_last(measure)))
+    return (df.withColumn("__place", place).where(P("__place") <= k).drop("__place")
+            .orderBy(F.desc_nulls_last(measure), F.asc_nulls_first(tie_break)))
 
 
 def channel_persistency(policies: DataFrame) -> DataFrame:

@@ -675,7 +675,7 @@ def product_measure(spark, sf_dir):
 
 def _dashboard(spark, sf_dir, name):
     m = model(spark, sf_dir)
-    return B.dashboard_rows(B.dashboard_tables(name, _bi(m), m.policies, m.customers, m.events, AS_OF), name)
+    return B.dashboard(name, _bi(m), m.customers, m.events, AS_OF)
 
 
 @query
