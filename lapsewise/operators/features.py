@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fx
 from ..functions import constants as K
+from . import ordered
 
 MONEY = "decimal(22,2)"
 
@@ -93,13 +94,16 @@ def gap_histogram(payments: DataFrame, dates: DataFrame, key: str = "policy_id")
     return x.groupBy(F.col("g").alias("payment_gap_days")).agg(F.sum("w").alias("n_gaps"))
 
 
-def gap_rows(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> DataFrame:
-    """E16 as rows: every payment with the gap to the previous one (the form
-    the workload writes, ``lag`` over the policy's payments)."""
+def gap_rows(payments: DataFrame, dates: DataFrame, key: str = "policy_id", tie: str | None = None) -> DataFrame:
+    """E16 / J7 as rows: every payment whose date is in the calendar, with the
+    days since the policy's payment before it (by date, then ``tie``: which of
+    a day's payments has its gap to the day before).  No
+    policy is a group: the payments are sorted over slices of a bounded number
+    of rows and the date is carried over their edges."""
     cal = dates.select("date_id", F.col("date").alias("payment_date"))
-    p = payments.join(cal, "date_id", "inner")
-    w = Window.partitionBy(key).orderBy("payment_date")
-    return p.withColumn("payment_gap_days", F.datediff("payment_date", F.lag("payment_date").over(w)))
+    seen = ordered.previous(payments.join(cal, "date_id", "inner"), key, ["payment_date", *([F.col(tie).asc_nulls_first()] if tie else [])],
+                            {"__before": "payment_date"})
+    return seen.withColumn("payment_gap_days", F.datediff("payment_date", "__before")).drop("__before")
 
 
 # --- per-policy rule columns --------------------------------------------------

@@ -406,6 +406,13 @@ def payment_gaps(spark, sf_dir):
     return E.gap_histogram(m["premium_payments"], m["dates"])
 
 
+@query
+def payment_gap_rows(spark, sf_dir):
+    """E16 with its inner calendar lookup (J7): the gap before every payment."""
+    m = model(spark, sf_dir)
+    return E.gap_rows(m["premium_payments"], m["dates"], tie="payment_id").select("payment_id", "policy_id", "payment_date", "payment_gap_days")
+
+
 @query
 def payment_frequency(spark, sf_dir):
     m = model(spark, sf_dir)

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.columns import date_lit
-from ..operators.joins import null_safe_on
+from ..operators import ordered
 from .io import read_driver
 
 EPOCH = dt.date(1995, 1, 1)
@@ -94,24 +94,13 @@ def policies(orders: DataFrame) -> DataFrame:
 
 def previous_status(events: DataFrame) -> DataFrame:
     """``events`` plus the ``current_status`` of the same policy's event before
-    it in (date, event) order.
-
-    The window is cut by calendar month, so a policy with a large share of the
-    events spreads over its months; the first event of a month takes the last
-    status of the policy's month before, from one row per policy and month.
-    Events with a null policy or date are kept, each null being a key of its own.
+    it in (date, event) order, with no policy as a group: the events are sorted
+    over slices of a bounded number of rows and the status is carried over
+    their edges (``ordered.previous``; the sorted slices are landed).  Events
+    with a null policy, date or id are kept; null policies are one policy.
     """
-    order = ["date_id", "event_id"]
-    dated = events.withColumn("__month", F.floor(F.col("date_id") / 100))
-    last = dated.groupBy("policy_id", "__month").agg(F.max_by("current_status", F.struct(*order)).alias("__last"))
-    months = last.withColumn("__carried", F.lag("__last").over(Window.partitionBy("policy_id").orderBy("__month"))) \
-        .select(F.col("policy_id").alias("__policy"), F.col("__month").alias("__of"), "__carried")
-    inside = Window.partitionBy("policy_id", "__month").orderBy(*order)
-    lagged = dated.withColumn("__lag", F.lag("current_status").over(inside)).withColumn("__place", F.row_number().over(inside))
-    own = null_safe_on("policy_id", "__policy") & null_safe_on("__month", "__of")
-    return (lagged.join(months, own, "left")
-            .withColumn("previous_status", F.when(F.col("__place") == 1, F.col("__carried")).otherwise(F.col("__lag")))
-            .drop("__month", "__policy", "__of", "__carried", "__lag", "__place"))
+    return ordered.previous(events, "policy_id", [F.col("date_id").asc_nulls_first(), F.col("event_id").asc_nulls_first()],
+                            {"previous_status": "current_status"})
 
 
 def policy_events(events: DataFrame) -> DataFrame:
@@ -192,7 +181,7 @@ def agents(supplier: DataFrame) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight raw domain tables over one driver directory (all lazy)."""
+    """The eight raw domain tables over one driver directory; lazy, but for the events, whose order is landed in slices."""
     rd = lambda name: read_driver(spark, sf_dir, name)
     return {
         "customers": customers(rd("customer")),

@@ -42,3 +42,16 @@ def test_empty(spark):
     df = spark.createDataFrame([], "k long, o long, v long")
     assert ordered.previous(df, "k", ["o"], {"p": "v"}).collect() == []
     assert ordered.ranked(df, ["o"], "r").collect() == [] and ordered.running(df, ["o"], "v", "s").collect() == []
+
+
+def test_gap_rows_of_a_hot_policy(spark):
+    """A policy with a third of all payments, many of them on one day, against a plain window."""
+    from lapsewise.operators.features import gap_rows
+
+    pay = spark.range(6000).select(F.col("id").alias("payment_id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 40).alias("policy_id"),
+                                   F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") * 13 % 700).cast("int").alias("date_id"))
+    dates = spark.range(650).select(F.col("id").cast("int").alias("date_id"), F.expr("date_add(DATE'2020-01-01', CAST(id AS INT))").alias("date"))
+    lag = F.lag("date").over(Window.partitionBy("policy_id").orderBy("date", "payment_id"))
+    want = pay.join(dates, "date_id").select("payment_id", F.datediff("date", lag).alias("gap"))
+    got = gap_rows(pay, dates, tie="payment_id").select("payment_id", "payment_gap_days")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
