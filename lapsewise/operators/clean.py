@@ -8,14 +8,14 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import columns as fx
 from ..functions.columns import flag as _flag
 from ..functions.columns import initcap_trim
 from .joins import null_safe_on
+from .ordered import landed as _landed
 
-# A group's quantile sketch, of rank error 1 / SKETCH_ACCURACY, brackets its
-# median between these two quantiles; the exact rank is then found inside.
-SKETCH_ACCURACY = 10_000
-BRACKET = (0.499, 0.501)
+# Values of a group that one task orders at most; steps of a group's sketch, whose rank error is 1 / SKETCH_ACCURACY.
+FINISH_VALUES, GRID, SKETCH_ACCURACY = 100_000, 1_000, 10_000
 
 
 def standardise_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:
@@ -33,26 +33,65 @@ def _fill_from_groups(df: DataFrame, col: str, by: str, groups: DataFrame, fallb
     return joined.withColumn(col, F.coalesce(*parts).cast(dtype)).drop("__by", "__fill")
 
 
-def group_median(df: DataFrame, col: str, by: str) -> DataFrame:
+def group_median(df: DataFrame, col: str, by: str, finish: int = FINISH_VALUES) -> DataFrame:
     """``(by, __fill)``, the value of rank ceil(n / 2) among the
-    non-null values of each group — exact at every size.
-
-    Two aggregates, both combined map-side: a sketch per group that brackets
-    the median, then the count below the bracket and the counts of the values
-    inside it.  Only the bracket's distinct values, about 0.2 % of the ranks of
-    a group, are ordered together.
+    non-null values of each group — exact at every size, for numbers and dates.
+
+    Each group's median is first known to lie in an open interval, at the start
+    without ends.  A round is one pass, combined map-side: per group it counts
+    the values below, at the ends of and inside the interval, and sketches the
+    inside at ``GRID`` steps.  Either an end is the median, or the two grid
+    values around its rank, less the sketch's error, are the next interval,
+    which holds at most about three steps' worth of the values inside.  When
+    every open group has ``finish`` values inside or fewer, those alone are
+    counted and ordered, so no task holds more values of a group, whatever its
+    size.  Rounds: one, and one more per factor of ``GRID`` / 3 in the largest
+    group above ``finish``.
     """
-    known = df.select(by, col).where(F.col(col).isNotNull())
-    brackets = known.groupBy(by).agg(
-        F.count(F.lit(1)).alias("__n"), F.percentile_approx(col, list(BRACKET), SKETCH_ACCURACY).alias("__q"))
-    brackets = brackets.select(F.col(by).alias("__by"), "__n", F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi"))
-    inside = (known.join(brackets, null_safe_on(by, "__by")).where(F.col(col) <= F.col("__hi"))
-              .groupBy(by, "__n", F.when(F.col(col) >= F.col("__lo"), F.col(col)).alias("__v"))
-              .agg(F.count(F.lit(1)).alias("__c")))
-    # the values below the bracket are one row, which sorts first as null
-    seen = F.sum("__c").over(Window.partitionBy(by).orderBy(F.col("__v").asc_nulls_first()))
-    return (inside.withColumn("__seen", seen).where((2 * F.col("__seen") >= F.col("__n")) & F.col("__v").isNotNull())
-            .groupBy(by).agg(F.min("__v").alias("__fill")))
+    known = df.select(F.col(by).alias("__by"), F.col(col).alias("__v")).where(F.col(col).isNotNull())
+    state, settled = _landed(_sketched(known, None)), []
+    while state.where(F.col("__fill").isNull() & (F.col("__inside") > finish)).take(1):
+        settled.append(state.where("__fill IS NOT NULL").select("__by", "__fill"))
+        # a group that is ready keeps its interval in the rounds that only others need
+        keep = (F.col("__inside") <= finish) & F.col("__lo").isNotNull()
+        state = _landed(_sketched(known, state.where("__fill IS NULL").select(
+            F.col("__by").alias("__of"), "__rank", F.when(keep, F.col("__lo")).otherwise(F.col("__next_lo")).alias("__lo"),
+            F.when(keep, F.col("__hi")).otherwise(F.col("__next_hi")).alias("__hi"))))
+    settled.append(state.where("__fill IS NOT NULL").select("__by", "__fill"))
+    last = state.where("__fill IS NULL").select(F.col("__by").alias("__of"), "__left", "__lo", "__hi")
+    lo, hi, v = F.col("__lo"), F.col("__hi"), F.col("__v")
+    left = known.join(last, null_safe_on("__by", "__of")).where((lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi))) \
+        .groupBy("__by", "__left", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    upto = F.sum("__c").over(Window.partitionBy("__by").orderBy("__v"))
+    out = left.withColumn("__upto", upto).where(F.col("__upto") >= F.col("__left")).groupBy("__by").agg(F.min("__v").alias("__fill"))
+    for part in settled:
+        out = out.union(part)
+    return out.withColumnRenamed("__by", by)
+
+
+def _sketched(known: DataFrame, bounds: DataFrame | None) -> DataFrame:
+    """A round of ``group_median``: one row per group with its counts, the
+    median where an end is it (``__fill``), and the next interval."""
+    v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
+    if bounds is None:
+        null = F.lit(None).cast(known.schema["__v"].dataType.simpleString())
+        seen = known.select("*", null.alias("__lo"), null.alias("__hi"), F.lit(None).cast("long").alias("__rank"))
+        inside = F.lit(True)
+    else:
+        seen = known.join(bounds, null_safe_on("__by", "__of"))
+        inside = (v > lo) & (v < hi)
+    # an interval without ends has nothing outside: its comparisons are null
+    got = seen.groupBy("__by", "__lo", "__hi", "__rank").agg(
+        F.count_if(v <= lo).alias("__low"), F.count_if(inside).alias("__inside"),
+        F.percentile_approx(F.when(inside, v), [i / GRID for i in range(GRID + 1)], SKETCH_ACCURACY).alias("__grid"))
+    rank = F.coalesce(F.col("__rank"), fx.idiv(F.col("__inside") + 1, F.lit(2)))
+    left = rank - F.col("__low")
+    fill = F.when(left <= 0, lo).when(left > F.col("__inside"), hi)
+    # the grid step of the rank, and one step to either side for the sketch's error
+    step = F.floor((left - 1).cast("double") * GRID / F.greatest(F.col("__inside"), F.lit(1))).cast("int")
+    edge = lambda i: F.element_at("__grid", F.least(F.greatest(i, F.lit(0)), F.lit(GRID)) + 1)
+    return got.select("__by", rank.alias("__rank"), left.alias("__left"), "__inside", "__lo", "__hi", fill.alias("__fill"),
+                      F.when(fill.isNull(), edge(step - 1)).alias("__next_lo"), F.when(fill.isNull(), edge(step + 2)).alias("__next_hi"))
 
 
 def impute_group_median(df: DataFrame, col: str, by: str, global_fallback: bool = False) -> DataFrame:

@@ -26,6 +26,14 @@ def _in_slice():
     return Window.partitionBy(SLICE).orderBy(PLACE)
 
 
+def landed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, which cuts its lineage."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/lapsewise-slices/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def slices(df: DataFrame, order: Sequence[str | Column], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``df`` plus ``__slice`` and ``__place``: the rows in ``order`` are those of slice 0, of slice 1 and so on.
 
@@ -39,9 +47,7 @@ def slices(df: DataFrame, order: Sequence[str | Column], slice_rows: int = SLICE
               .repartitionByRange(n, *keys, F.col(TIE)).sortWithinPartitions(*keys, TIE).drop(TIE)
               .withColumn(SLICE, F.spark_partition_id())
               .withColumn(PLACE, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
-    path = f"{shared_dir(spark)}/lapsewise-slices/{uuid.uuid4().hex}"
-    placed.write.parquet(path)
-    return spark.read.schema(placed.schema).parquet(path)
+    return landed(placed)
 
 
 def carried(sliced: DataFrame, **sums: Column) -> DataFrame:
