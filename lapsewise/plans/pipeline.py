@@ -131,16 +131,23 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
 
 
 def run_from_csv(spark: SparkSession, csv_paths: dict[str, str], root: str, as_of: dt.date = K.REFERENCE_AS_OF,
-                 schemas: dict | None = None) -> Model:
+                 schemas: dict | None = None, quarantine: bool = False) -> Model:
     """The pipeline over the eight raw CSV files (header row, declared
     schemas — no inference pass), layers written under ``root``.
     ``csv_paths`` maps customers, policies, products, channels, agents,
-    dates, policy_events and premium_payments to files or folders."""
+    dates, policy_events and premium_payments to files or folders.  With
+    ``quarantine`` rows that don't fit their schema are set apart under
+    ``landed/`` (``landing.quarantined``) and the others go on; without it
+    they have nulls where a value doesn't parse."""
     from ..sources import schemas as raw_schemas
     from ..sources.io import read_raw
+    from ..sources.landing import land_csv
 
     declared = {**raw_schemas.RAW, **(schemas or {})}
-    raw = {name: read_raw(spark, path, declared[name]) for name, path in csv_paths.items()}
+    if quarantine:
+        raw = {name: land_csv(spark, path, declared[name], root, f"landed/{name}") for name, path in csv_paths.items()}
+    else:
+        raw = {name: read_raw(spark, path, declared[name]) for name, path in csv_paths.items()}
     return run_pipeline(spark, raw, root, as_of)
 
 

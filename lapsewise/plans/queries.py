@@ -23,9 +23,11 @@ from ..operators import features as E
 from ..operators import kpi as Q
 from ..operators import profile as PR
 from ..session import shared_dir
-from ..sources import schemas
+from ..sources import evolve, landing, schemas
 from ..sources.io import read_raw
+from ..sources.measured import read_checks
 from . import cleaning
+from .features import POLICY_FEATURE_COLUMNS
 from .pipeline import materialize, materialize_raw
 from .sql import run_sql
 
@@ -713,6 +715,60 @@ def csv_landing(spark, sf_dir):
     return read_raw(spark, path, customers.schema)
 
 
+# --- fixed values: rows that csv_quarantine spoils: what numbers them, and the values put in their columns
+SPOILED_EVERY, SHORT_EVERY = (41, 3), (43, 5)
+SPOILED = {
+    "customers": ("customer_id", {"customer_age": "x"}),
+    "policies": ("policy_id", {"policy_value": "1,2,3", "issue_date": "2020-13-40"}),
+    "products": ("product_id + 1", {"product_id": "three"}),
+    "channels": ("channel_id + 1", {"channel_id": "three"}),
+    "agents": ("CAST(substr(agent_id, 2) AS BIGINT)", {"channel_id": "1.5"}),
+    "dates": ("date_id", {"date": "tomorrow"}),
+    "policy_events": ("event_id", {"date_id": "19950230x", "is_renewed": "maybe"}),
+    "premium_payments": ("payment_id", {"premium_amount": "n/a"}),
+}
+
+
+@query
+def csv_quarantine(spark, sf_dir):
+    """All eight raw tables landed as CSV, some rows with values that
+    don't parse and some without their last column, and scanned with the
+    quarantine: rows landed, good and malformed, and values per typed column
+    that their declared type can't take, as counted by the landing's writes."""
+    t, root = raw(spark, sf_dir), f"{shared_dir(spark)}/lapsewise-csv/{uuid.uuid4().hex}"
+    for name, (number, values) in SPOILED.items():
+        schema = schemas.RAW[name]
+        place = F.expr(number)
+        spoiled, short = (place % every == rest for every, rest in (SPOILED_EVERY, SHORT_EVERY))
+        texts = [F.when(spoiled, values[f.name]).otherwise(P(f.name).cast(f.dataType).cast("string")).alias(f.name) if f.name in values
+                 else P(f.name).cast(f.dataType).cast("string").alias(f.name) for f in schema.fields]
+        short = F.coalesce(short, F.lit(False))
+        t[name].where(~short).select(*texts).write.option("header", True).csv(f"{root}/{name}/whole")
+        t[name].where(short).select(*texts[:-1]).write.option("header", True).csv(f"{root}/{name}/short")
+        landing.land_csv(spark, [f"{root}/{name}/whole", f"{root}/{name}/short"], schema, root, f"landed/{name}")
+    return read_checks(spark, root, [f"landed/{name}" for name in SPOILED])
+
+
+# the feature layer as it was before its last two columns, and the year that is written anew
+OLDER_COLUMNS, REWRITTEN_YEAR = POLICY_FEATURE_COLUMNS[:-2], 1996
+
+
+@query
+def layer_evolution(spark, sf_dir):
+    """The policy features written by issue year with 32 columns and a
+    narrower tenure, one year replaced with today's 34, and the whole layer
+    read by today's contract."""
+    features, root = model(spark, sf_dir).policies, f"{shared_dir(spark)}/lapsewise-layers/{uuid.uuid4().hex}"
+    older = features.select(*OLDER_COLUMNS).withColumn("policy_tenure", P("policy_tenure").cast("smallint"))
+    evolve.replace_slices(older, root, "features/policies", ["issue_year"])
+    evolve.replace_slices(features.where(P("issue_year") == REWRITTEN_YEAR), root, "features/policies", ["issue_year"], features.schema)
+    layer = evolve.read_evolved(spark, root, "features/policies", features.schema)
+    added = [c for c in features.columns if c not in OLDER_COLUMNS]
+    return layer.groupBy("issue_year").agg(
+        F.count(F.lit(1)).alias("n_policies"), F.sum("policy_tenure").alias("sum_tenure"), F.sum("cost_spent").cast("double").alias("sum_cost"),
+        *[F.count_if(P(c).isNull()).alias(f"n_null_{c}") for c in added], *[fx.count_where(P(c)).alias(f"n_{c}") for c in added])
+
+
 @query
 def sql_views(spark, sf_dir):
     """One statement over the model's temp views, with ``==``."""

@@ -43,13 +43,16 @@ def write_measured(df: DataFrame, root: str, name: str, table: str | None = None
     right below the write, after every shuffle, so a task that is run again
     counts once.
     """
-    spark = df.sparkSession
-    checks = table_checks(df, flags, rules)
-    seen = Observation()
+    write_observed(df, root, name, table or name.rpartition("/")[2], table_checks(df, flags, rules), **options)
+
+
+def write_observed(df: DataFrame, root: str, name: str, table: str, checks: dict[tuple[str, str | None], Column], **options) -> None:
+    """``write_layer`` with aggregates observed on the way, stored as rows of ``CHECKS``."""
+    spark, seen = df.sparkSession, Observation()
     columns = [c.cast("long").alias(f"m{i}") for i, c in enumerate(checks.values())]
     write_layer(df.observe(seen, *columns), root, name, **options)
     got = seen.get
-    rows = [(check, table or name.rpartition("/")[2], column, got[f"m{i}"]) for i, (check, column) in enumerate(checks)]
+    rows = [(check, table, column, got[f"m{i}"]) for i, (check, column) in enumerate(checks)]
     spark.createDataFrame(rows, CHECKS).coalesce(1).write.mode("overwrite").parquet(layer_path(root, f"checks/{name}"))
 
 
