@@ -47,6 +47,18 @@ def round_ratio(num: Column, den: Column, scale: int = 2) -> Column:
     return (F.signum(num).cast("long") * mag).cast("double") / p
 
 
+def deviation(n: Column, total: Column, squares: Column) -> Column:
+    """Sample standard deviation from the count, the sum and the sum of squares
+    of integers.  With total = q n + r the squares about q are an exact
+    integer, from which only r² / n, a fraction of a unit per row, is taken as
+    a double; null below two values."""
+    q = idiv(total, n).cast(EXACT)
+    r = total.cast(EXACT) - q * n.cast(EXACT)
+    about_q = squares.cast(EXACT) - q * (q * n.cast(EXACT) + F.lit(2).cast(EXACT) * r)
+    rest = r.cast("double") * r.cast("double") / n.cast("double")
+    return F.when(n > 1, F.sqrt(F.greatest((about_q.cast("double") - rest) / (n - 1).cast("double"), F.lit(0.0))))
+
+
 def rate(num: Column, den: Column) -> Column:
     """Percentage ``round(num * 100 / den, 2)``; null when ``den`` is 0."""
     return round_ratio(num.cast(EXACT) * F.lit(100).cast(EXACT), den, 2)

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StructType
+from pyspark.sql.types import DecimalType, IntegralType, StructType
 
 from ..functions import columns as fx
 
@@ -56,21 +56,23 @@ def value_counts_of(tables: dict[str, DataFrame], columns: dict[str, Sequence[st
 
 def describe(df: DataFrame, name: str, cols: Sequence[str], scale: int = 2) -> DataFrame:
     """Count, mean, stddev, min, max per numeric column, as DOUBLE, all
-    columns in one aggregate.  The mean is exact half-up to ``scale``
-    decimals; stddev is rounded to it."""
+    columns in one aggregate.  Mean and deviation come from exact integer sums
+    of the values and their squares, in units of the column's last decimal, so
+    no order of merging changes them.  The mean is half-up to ``scale``
+    decimals; the deviation is rounded to six.  A sum of squares above 38
+    digits is an error, not a wrong number."""
     aggs, rows = [], []
     for i, c in enumerate(cols):
-        x = F.col(c)
-        places = max(scale, df.schema[c].dataType.scale if isinstance(df.schema[c].dataType, DecimalType) else scale)
-        # every decimal of the column; rounded once, below
-        scaled = (x.cast(f"decimal(28,{places})") * (10**places)).cast("decimal(38,0)")
-        aggs += [F.count(x).alias(f"n{i}"),
-                 fx.round_ratio(F.sum(scaled), F.count(x) * (10**places), scale).alias(f"mean{i}"),
-                 F.round(F.stddev_samp(x.cast("double")), scale).alias(f"sd{i}"),
+        x, kind = F.col(c), df.schema[c].dataType
+        places = 0 if isinstance(kind, IntegralType) else kind.scale if isinstance(kind, DecimalType) else scale
+        units = (x if places == 0 else x.cast(f"decimal(28,{places})") * (10**places)).cast("decimal(19,0)")
+        aggs += [F.count(x).alias(f"n{i}"), F.sum(units.cast("decimal(28,0)")).alias(f"s{i}"), F.sum(units * units).alias(f"q{i}"),
                  F.min(x).cast("double").alias(f"min{i}"), F.max(x).cast("double").alias(f"max{i}")]
-        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), F.col(f"mean{i}").alias("mean"),
-                             F.col(f"sd{i}").alias("stddev"), F.col(f"min{i}").alias("min"),
-                             F.col(f"max{i}").alias("max")))
+        n, total, squares = F.col(f"n{i}"), F.col(f"s{i}"), F.col(f"q{i}")
+        rows.append(F.struct(F.lit(c).alias("column_name"), n.alias("n"),
+                             fx.round_ratio(total, n * (10**places), scale).alias("mean"),
+                             F.round(fx.deviation(n, total, squares) / float(10**places), 6).alias("stddev"),
+                             F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max")))
     return df.agg(*aggs).select(F.inline(F.array(*rows))).select(F.lit(name).alias("table_name"), "*")
 
 
