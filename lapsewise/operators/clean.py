@@ -18,6 +18,10 @@ from .ordered import landed as _landed
 FINISH_VALUES, GRID, SKETCH_ACCURACY = 100_000, 1_000, 10_000
 
 
+# Keys of a semi-join that are looked at as heavy at most: the sketch's length.
+HEAVY_KEYS = 64
+
+
 def standardise_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """``initcap(trim(c))``; initcap splits on spaces only."""
     return df.withColumns({c: initcap_trim(c) for c in cols})
@@ -141,11 +145,33 @@ def cast_flags(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("boolean") for c in cols})
 
 
+def heavy_keys(df: DataFrame, key: str, partitions: int) -> list:
+    """Keys with more rows than a partition's share, by a frequency sketch: at
+    most ``HEAVY_KEYS``, found in one pass that combines map-side."""
+    found = df.where(F.col(key).isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k({key}, {HEAVY_KEYS}, {32 * HEAVY_KEYS})").alias("top")).first()
+    return [x["item"] for x in found["top"] or () if x["count"] * partitions > found["n"]]
+
+
 def drop_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Keep child rows whose key exists in the parent (left semi join)."""
-    parent_key = parent_key or key
-    keys = parent.select(F.col(parent_key).alias(key))
-    return child.join(keys, key, "left_semi")
+    """Keep child rows whose key exists in the parent (left semi join).
+
+    Keys that hold more than a partition's share of the child's rows are dealt
+    over all partitions by a salt, and stand with every salt on the key side, a
+    few rows each; the join is the same one shuffle for all rows, and no key is
+    one task, whatever the session's skew handling does.  Which keys the sketch
+    names changes the layout alone, never the rows.  The salt is a hash of the
+    row, so that a task run again deals alike; rows equal in all columns share it.
+    """
+    keys = parent.select(F.col(parent_key or key).alias("__key"))
+    n = int(child.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(child, key, n)
+    if not heavy:
+        return child.join(keys.withColumnRenamed("__key", key), key, "left_semi")
+    salts = F.when(F.col("__key").isin(heavy), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    spread = F.when(F.col(key).isin(heavy), F.pmod(F.xxhash64(*child.columns), F.lit(n)).cast("int")).otherwise(F.lit(0))
+    salted = child.withColumn("__salt", F.coalesce(spread, F.lit(0)))
+    keys = keys.select("__key", F.explode(salts).alias("__of"))
+    return salted.join(keys, (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__of")), "left_semi").drop("__salt")
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
