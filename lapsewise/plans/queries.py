@@ -19,12 +19,13 @@ from ..functions import columns as fx
 from ..functions import constants as K
 from ..operators import bi as B
 from ..operators import clean as C
+from ..operators import distinct as D
 from ..operators import features as E
 from ..operators import kpi as Q
 from ..operators import profile as PR
 from ..session import shared_dir
 from ..sources import evolve, landing, schemas
-from ..sources.io import read_raw
+from ..sources.io import layer_path, read_raw
 from ..sources.measured import read_checks
 from . import cleaning
 from .features import POLICY_FEATURE_COLUMNS
@@ -769,6 +770,17 @@ def layer_evolution(spark, sf_dir):
         *[F.count_if(P(c).isNull()).alias(f"n_null_{c}") for c in added], *[fx.count_where(P(c)).alias(f"n_{c}") for c in added])
 
 
+@query
+def distinct_by_channel(spark, sf_dir):
+    """Distinct policies and customers per channel, from bitmaps kept per
+    issue year (one folder each) and merged over the years."""
+    features, root = model(spark, sf_dir).policies, f"{shared_dir(spark)}/lapsewise-layers/{uuid.uuid4().hex}"
+    keys = {"policies": "policy_id", "customers": "customer_id"}
+    evolve.replace_slices(D.key_bitmaps(features, ["issue_year", "channel_id"], keys), root, "bitmaps/policies", ["issue_year"])
+    kept = spark.read.parquet(layer_path(root, "bitmaps/policies"))
+    return D.count_keys(D.merge_bitmaps(kept, ["channel_id"]), ["channel_id"])
+
+
 @query
 def sql_views(spark, sf_dir):
     """One statement over the model's temp views, with ``==``."""
