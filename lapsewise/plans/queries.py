@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -737,8 +738,9 @@ def csv_quarantine(spark, sf_dir):
     quarantine: rows landed, good and malformed, and values per typed column
     that their declared type can't take, as counted by the landing's writes."""
     t, root = raw(spark, sf_dir), f"{shared_dir(spark)}/lapsewise-csv/{uuid.uuid4().hex}"
-    for name, (number, values) in SPOILED.items():
-        schema = schemas.RAW[name]
+
+    def land(name: str) -> None:
+        (number, values), schema = SPOILED[name], schemas.RAW[name]
         place = F.expr(number)
         spoiled, short = (place % every == rest for every, rest in (SPOILED_EVERY, SHORT_EVERY))
         texts = [F.when(spoiled, values[f.name]).otherwise(P(f.name).cast(f.dataType).cast("string")).alias(f.name) if f.name in values
@@ -747,6 +749,9 @@ def csv_quarantine(spark, sf_dir):
         t[name].where(~short).select(*texts).write.option("header", True).csv(f"{root}/{name}/whole")
         t[name].where(short).select(*texts[:-1]).write.option("header", True).csv(f"{root}/{name}/short")
         landing.land_csv(spark, [f"{root}/{name}/whole", f"{root}/{name}/short"], schema, root, f"landed/{name}")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:  # the tables' jobs share the executors
+        list(pool.map(land, SPOILED))
     return read_checks(spark, root, [f"landed/{name}" for name in SPOILED])
 
 
