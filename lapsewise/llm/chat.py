@@ -25,8 +25,7 @@ Turn = tuple[str, str]
 CONTROL = re.compile(r"\\|<(?=/?s>)|\[(?=/?INST\])|<(?=\|)|<(?=</?SYS>>)")
 _ESCAPE = re.compile(r"\\(\\?)")
 _TURN = re.compile(r"<s>(.*?)\n(.*?)</s>\n", re.DOTALL)
-#: A text of one character that no marker holds.
-PROBE = "\ue000"
+_ROLE_ESCAPE = re.compile(r"\\(\\|n)?")
 
 FORMATTED = ("conv_id long, formatted string, rewritten_at int, "
              "spans array<struct<role:string,start:int,stop:int,text_start:int,text_stop:int,loss:boolean>>")
@@ -41,14 +40,28 @@ def unescape(text: str) -> str:
     return _ESCAPE.sub(lambda m: m[1], text)
 
 
+def escape_role(role: str) -> str:
+    """As ``escape``; a role ends at its line's end, so a line feed becomes a backslash and n, which ``escape`` never makes."""
+    return escape(role).replace("\n", "\\n")
+
+
+def unescape_role(role: str) -> str:
+    return _ROLE_ESCAPE.sub(lambda m: "\n" if m[1] == "n" else m[1] or "", role)
+
+
+def probe_for(output: str) -> str:
+    """A text of one character that ``output`` doesn't hold: from the private-use planes, so no marker holds it either."""
+    return next(c for c in map(chr, (*range(0xE000, 0xF900), *range(0xF0000, 0x10FFFE))) if c not in output)
+
+
 def template(turns: list[Turn]) -> str:
     """``<s>role``, the escaped text, ``</s>``: one marked block a turn."""
-    return "".join(f"<s>{escape(role.replace(chr(10), ' '))}\n{escape(text)}</s>\n" for role, text in turns)
+    return "".join(f"<s>{escape_role(role)}\n{escape(text)}</s>\n" for role, text in turns)
 
 
 def parse(formatted: str) -> list[Turn]:
     """The turns that ``template`` rendered."""
-    return [(unescape(role), unescape(text)) for role, text in _TURN.findall(formatted)]
+    return [(unescape_role(role), unescape(text)) for role, text in _TURN.findall(formatted)]
 
 
 def locate(turns: list[Turn], render: Callable[[list[Turn]], str], loss_roles: tuple[str, ...] = ("assistant",)) -> tuple[str, int | None, list[dict]]:
@@ -62,8 +75,9 @@ def locate(turns: list[Turn], render: Callable[[list[Turn]], str], loss_roles: t
         now = render(turns[: k + 1])
         if not now.startswith(before):
             return render(turns), k, []
-        probed = render([*turns[:k], (role, PROBE)])
-        start = probed.find(PROBE, len(before))
+        probe = probe_for(now)
+        probed = render([*turns[:k], (role, probe)])
+        start = probed.find(probe, len(before))
         tail = len(probed) - start - 1
         shown = start >= 0 and len(now) - tail >= start and now[:start] == probed[:start]
         spans.append({"role": role, "start": len(before), "stop": len(now), "text_start": start if shown else len(now),
@@ -101,7 +115,8 @@ def format_conversations(rows: DataFrame, render: Callable[[list[Turn]], str] =
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of what the formatted text and its loss mask say, for ``template``'s format."""
+    """Digests of what the formatted text and its loss mask say, for ``template``'s format; a row per conversation, any role and
+    text given back as it was, no rows for none."""
     def digest(tables):
         for b in tables:
             rows = []
