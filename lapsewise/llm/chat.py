@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,7 +52,7 @@ def unescape_role(role: str) -> str:
 
 def probe_for(output: str) -> str:
     """A text of one character that ``output`` doesn't hold: from the private-use planes, so no marker holds it either."""
-    return next(c for c in map(chr, (*range(0xE000, 0xF900), *range(0xF0000, 0x10FFFE))) if c not in output)
+    return next(c for c in map(chr, chain(range(0xE000, 0xF900), range(0xF0000, 0x10FFFE))) if c not in output)
 
 
 def template(turns: list[Turn]) -> str:
