@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as fx
 from ..functions.columns import flag as _flag
 from ..functions.columns import initcap_trim
+from . import packed
 from .joins import null_safe_on
 from .ordered import landed as _landed
 
@@ -174,23 +175,45 @@ def drop_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str
     return salted.join(keys, (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__of")), "left_semi").drop("__salt")
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), fit_on: DataFrame | None = None) -> DataFrame:
     """One row per key, the one smallest in ``order`` and then in all its
     other columns, so the survivor never depends on the input's layout.
 
-    Chosen by a ``min_by`` aggregate — partial aggregation, so a key holding a
-    large share of the rows is combined map-side instead of landing in one task.
+    An aggregate, so a key holding a large share of the rows is combined
+    map-side instead of landing in one task: the smallest packed row, a hash
+    aggregate, or, where the rows can't be packed, the smallest struct.
+    ``fit_on`` holds the rows of ``df`` and maybe more, and is read first for
+    the columns' ranges; it saves a pass over a ``df`` that is costly to make.
     """
     rest = [c for c in df.columns if c not in keys]
     ranked = [*order, *[c for c in rest if c not in order]]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*ranked)).alias("__row"))
-    return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
+    packing = packed.fit(df if fit_on is None else fit_on, ranked) if ranked else None
+    if packing:
+        picked = df.groupBy(*keys).agg(F.min(packing.pack()).alias("__row"))
+        values = packing.unpack(F.col("__row"))
+    else:
+        picked = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("__row"))
+        values = {c: F.col("__row")[c] for c in rest}
+    return picked.select(*[F.col(c) if c in keys else values[c].alias(c) for c in df.columns])
+
+
+def newest(df: DataFrame, value: str, order: Sequence[str], fit_on: DataFrame | None = None) -> tuple[Column, Column]:
+    """W1 for use in ``agg``: an aggregate column, and what reads the newest
+    row's ``value`` from a column of its name ``__newest``.  Newest by
+    ``order``, ties to the largest value.  Packed, a hash aggregate; else the
+    largest struct.  ``fit_on`` as in ``dedupe``."""
+    packing = packed.fit(df if fit_on is None else fit_on, [*order, value])
+    if packing:
+        return F.max(packing.pack()).alias("__newest"), packing.unpack(F.col("__newest"))[value]
+    return F.max(F.struct(*order, value)).alias("__newest"), F.col("__newest")[value]
 
 
-def latest_by(df: DataFrame, key: str, value: str, order: Sequence[str], alias: str | None = None) -> DataFrame:
+def latest_by(df: DataFrame, key: str, value: str, order: Sequence[str], alias: str | None = None,
+              fit_on: DataFrame | None = None) -> DataFrame:
     """Value of the newest row per key (ties broken by the later
-    order columns), as a ``max_by`` aggregate — no sort, no window."""
-    return df.groupBy(key).agg(F.max_by(F.col(value), F.struct(*order)).alias(alias or value))
+    order columns, then by the value) — one hash aggregate, no sort, no window."""
+    found, read = newest(df, value, order, fit_on)
+    return df.groupBy(key).agg(found).select(key, read.alias(alias or value))
 
 
 def refresh_status(policies: DataFrame, latest: DataFrame, status_col: str, new_col: str, key: str,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as fx
 from ..functions import constants as K
 from . import ordered
+from .clean import newest
 
 MONEY = "decimal(22,2)"
 
@@ -165,10 +166,9 @@ def transition_counts(events: DataFrame) -> DataFrame:
 def customer_event_summary(events: DataFrame) -> DataFrame:
     """E20 + E22: newest event status over all the customer's policies (date,
     then event id) and whether any event was a renewal."""
-    return events.groupBy("customer_id").agg(
-        F.max_by(F.col("current_status"), F.struct("date_id", "event_id")).alias("__last_status"),
-        F.max(fx.flag(F.col("is_renewed_event"))).alias("__renewed"),
-    )
+    found, read = newest(events, "current_status", ["date_id", "event_id"])
+    return events.groupBy("customer_id").agg(found, F.max(fx.flag(F.col("is_renewed_event"))).alias("__renewed")) \
+        .select("customer_id", read.alias("__last_status"), "__renewed")
 
 
 def customer_policy_summary(policy_features: DataFrame) -> DataFrame:

@@ -76,8 +76,9 @@ def clean_policies_base(policies: DataFrame, as_of: dt.date) -> DataFrame:
 
 def clean_events(events: DataFrame, policies: DataFrame) -> DataFrame:
     df = C.add_flags(events, {"is_first_event": F.col("previous_status").isNull()})
-    df = C.drop_orphans(df, policies, "policy_id")
-    df = C.dedupe(df, ["event_id"], order=["date_id", "policy_id"])
+    # ranges are read off the raw events, before the orphan join
+    kept = C.drop_orphans(df, policies, "policy_id")
+    df = C.dedupe(kept, ["event_id"], order=["date_id", "policy_id"], fit_on=df)
     return df.withColumnRenamed("is_renewed", "is_renewed_event")
 
 
