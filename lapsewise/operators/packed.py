@@ -1,9 +1,9 @@
 """Several columns packed into one number that sorts as they do.
 
 ``min`` and ``max`` of a struct or a string need a sort aggregate: their
-buffers have no fixed width.  A packed row is a ``bigint`` or a
-``decimal(38,0)``, so its ``min`` or ``max`` is a hash aggregate, and the row
-is read back from it.  Nulls sort first, as they do in a struct.
+buffers have no fixed width.  A packed row is a ``bigint``, so its ``min`` or
+``max`` is a hash aggregate, and the row is read back from it.  Nulls sort
+first, as they do in a struct.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from ..functions.columns import EXACT
 
 #: Distinct strings that a column is coded for at most; a column with more is not packed.
 DICTIONARY = 64
-_LONG, _WIDE = 1 << 63, 10**38
+_LONG = 1 << 63
 _DAY, _SECOND = 86_400_000_000, 1_000_000
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _EPOCH = "1970-01-01 00:00:00"
@@ -62,34 +62,37 @@ def _value(units: Column, dtype: T.DataType) -> Column:
 
 @dataclass(frozen=True)
 class _Digit:
-    """A column as a digit from 1 (null: 0): its steps above ``low``, or its place in the sorted ``words``."""
+    """A column as a digit: its steps above ``low``, or its place in the sorted
+    ``words``, after ``nulls``, which is 1 where null (0) needs a digit of its own."""
 
     name: str
     dtype: T.DataType
     radix: int
+    nulls: int
     low: int = 0
     step: int = 1
     words: tuple[str, ...] | None = None
 
     def of(self) -> Column:
         c = F.col(self.name)
+        if self.radix == 1:
+            return F.lit(0).cast("long")
         if self.words is not None:
-            digit = F.array_position(F.array(*[F.lit(w) for w in self.words]), c) if self.words else F.lit(0)
-        elif self.radix == 1:
-            digit = F.lit(0)
+            digit = F.array_position(F.array(*[F.lit(w) for w in self.words]), c) - F.lit(1 - self.nulls)
         else:
             above = _units(c, self.dtype) - F.lit(self.low)
-            digit = (above if self.step == 1 else F.call_function("div", above, F.lit(self.step))) + F.lit(1)
-        return F.coalesce(digit.cast("long"), F.lit(0).cast("long"))
+            digit = (above if self.step == 1 else F.call_function("div", above, F.lit(self.step))) + F.lit(self.nulls)
+        return F.coalesce(digit.cast("long"), F.lit(0).cast("long")) if self.nulls else digit.cast("long")
 
     def read(self, digit: Column) -> Column:
-        if self.radix == 1:
+        if self.radix == self.nulls:
             return F.lit(None).cast(self.dtype)
+        place = digit - F.lit(self.nulls)
         if self.words is not None:
-            value = F.element_at(F.array(*[F.lit(w) for w in self.words]), digit.cast("int"))
+            value = F.get(F.array(*[F.lit(w) for w in self.words]), place.cast("int"))
         else:
-            value = _value((digit - F.lit(1)) * F.lit(self.step) + F.lit(self.low), self.dtype)
-        return F.when(digit > 0, value).cast(self.dtype)
+            value = _value(place * F.lit(self.step) + F.lit(self.low), self.dtype)
+        return (F.when(digit > 0, value) if self.nulls else value).cast(self.dtype)
 
 
 def _product(digits: Sequence[_Digit]) -> int:
@@ -103,47 +106,30 @@ class Packing:
     """Columns in order of weight, packed by ``pack`` and read back by ``unpack``."""
 
     def __init__(self, digits: Sequence[_Digit]):
-        self.limbs: list[list[_Digit]] = [[]]  # runs of digits that fit in a long
-        for d in digits:
-            if self.limbs[-1] and _product([*self.limbs[-1], d]) >= _LONG:
-                self.limbs.append([])
-            self.limbs[-1].append(d)
-
-    @staticmethod
-    def _limb(digits: list[_Digit]) -> Column:
-        out = digits[0].of()
-        for d in digits[1:]:
-            out = out * F.lit(d.radix).cast("long") + d.of()
-        return out
+        self.digits = list(digits)
 
     def pack(self) -> Column:
-        out = self._limb(self.limbs[0])
-        for digits in self.limbs[1:]:
-            out = out.cast(EXACT) * F.lit(Decimal(_product(digits))) + self._limb(digits).cast(EXACT)
-        return out.cast(EXACT) if len(self.limbs) > 1 else out
+        out = self.digits[0].of()
+        for d in self.digits[1:]:
+            out = out * F.lit(d.radix).cast("long") + d.of()
+        return out
 
     def unpack(self, packed: Column) -> dict[str, Column]:
-        out, below = {}, _product([d for digits in self.limbs for d in digits])
-        for digits in self.limbs:
-            own = _product(digits)
-            limb = packed if len(self.limbs) == 1 else F.call_function(
-                "div", packed % F.lit(Decimal(below)), F.lit(Decimal(below // own)))
-            below //= own
-            left = own
-            for d in digits:
-                left //= d.radix
-                out[d.name] = d.read(F.call_function("div", limb, F.lit(left).cast("long")) % F.lit(d.radix).cast("long"))
+        out, below = {}, _product(self.digits)
+        for d in self.digits:
+            below //= d.radix
+            out[d.name] = d.read(F.call_function("div", packed, F.lit(below).cast("long")) % F.lit(d.radix).cast("long"))
         return out
 
 
 def fit(df: DataFrame, cols: Sequence[str]) -> Packing | None:
     """A packing of ``cols`` for the rows of ``df``, which may hold more rows
     than are packed; None if a type has no whole-number form, a string column
-    more than ``DICTIONARY`` values, or all digits more than 38 places.
+    more than ``DICTIONARY`` values, or all digits together more than a long holds.
 
     One aggregate that combines map-side reads the range of every column, and
-    the distinct strings of each string column; timestamps on whole days or
-    seconds count in those.
+    another the distinct strings of each string column; timestamps on whole
+    days or seconds count in those.
     """
     types = {f.name: f.dataType for f in df.schema.fields if f.name in cols}
     texts = [c for c in cols if isinstance(types[c], T.StringType)]
@@ -159,22 +145,26 @@ def fit(df: DataFrame, cols: Sequence[str]) -> Packing | None:
             return None
         words[c] = tuple(sorted(seen, key=lambda w: w.encode()))
     clocks = [c for c in units if isinstance(types[c], (T.TimestampType, T.TimestampNTZType))]
-    stats = [f(u) for u in units.values() for f in (F.min, F.max)]
+    stats = [F.count_if(F.col(c).isNull()) for c in cols] + [f(u) for u in units.values() for f in (F.min, F.max)]
     stats += [F.bool_and(units[c] % F.lit(s) == 0) for c in clocks for s in (_DAY, _SECOND)]
-    got = list(df.agg(*stats).first()) if stats else []
+    got = list(df.agg(*stats).first())
+    # a column without any value has one digit, null
+    nulls = {c: int(n > 0) for c, n in zip(cols, got, strict=False)}
+    got = got[len(cols):]
     ranges = dict(zip(units, zip(got[0::2], got[1::2], strict=False), strict=False))
     whole = got[2 * len(units):]
     digits = []
     for c in cols:
         if c in words:
-            digits.append(_Digit(c, types[c], len(words[c]) + 1, words=words[c]))
+            digits.append(_Digit(c, types[c], max(len(words[c]) + nulls[c], 1), nulls[c], words=words[c]))
             continue
         low, high = ranges[c]
         step = 1
         if c in clocks:
             day, second = whole[2 * clocks.index(c): 2 * clocks.index(c) + 2]
             step = _DAY if day else _SECOND if second else 1
-        digits.append(_Digit(c, types[c], 1 if low is None else (high - low) // step + 2, low or 0, step))
-    if any(d.radix >= _LONG or abs(d.low) + d.radix * d.step >= _LONG for d in digits) or _product(digits) >= _WIDE:
+        radix = 1 if low is None else (high - low) // step + 1 + nulls[c]
+        digits.append(_Digit(c, types[c], radix, 1 if low is None else nulls[c], low or 0, step))
+    if any(d.radix >= _LONG or abs(d.low) + d.radix * d.step >= _LONG for d in digits) or _product(digits) >= _LONG:
         return None
     return Packing(digits)

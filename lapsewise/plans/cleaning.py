@@ -76,19 +76,18 @@ def clean_policies_base(policies: DataFrame, as_of: dt.date) -> DataFrame:
 
 def clean_events(events: DataFrame, policies: DataFrame) -> DataFrame:
     df = C.add_flags(events, {"is_first_event": F.col("previous_status").isNull()})
-    # ranges are read off the raw events, before the orphan join
-    kept = C.drop_orphans(df, policies, "policy_id")
-    df = C.dedupe(kept, ["event_id"], order=["date_id", "policy_id"], fit_on=df)
+    df = C.drop_orphans(df, policies, "policy_id")
+    df = C.dedupe(df, ["event_id"], order=["date_id", "policy_id"])
     return df.withColumnRenamed("is_renewed", "is_renewed_event")
 
 
-def latest_policy_status(events: DataFrame) -> DataFrame:
+def latest_policy_status(events: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     """Newest event status per policy (date, then event id breaks ties)."""
-    return C.latest_by(events, "policy_id", "current_status", ["date_id", "event_id"], alias="__new_status")
+    return C.latest_by(events, "policy_id", "current_status", ["date_id", "event_id"], "__new_status", fit_on)
 
 
-def refresh_policy_status(policies: DataFrame, events: DataFrame, keep_original: bool = False) -> DataFrame:
-    return C.refresh_status(policies, latest_policy_status(events), "latest_status", "__new_status", "policy_id",
+def refresh_policy_status(policies: DataFrame, events: DataFrame, keep_original: bool = False, fit_on: DataFrame | None = None) -> DataFrame:
+    return C.refresh_status(policies, latest_policy_status(events, fit_on), "latest_status", "__new_status", "policy_id",
                             K.UNKNOWN_STATUS, keep_original)
 
 
@@ -113,7 +112,7 @@ def clean_all(raw: dict[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]
     """All eight cleaned tables (lazy)."""
     base = clean_policies_base(raw["policies"], as_of)
     events = clean_events(raw["policy_events"], base)
-    policies = refresh_policy_status(base, events)
+    policies = refresh_policy_status(base, events, fit_on=raw["policy_events"])
     return {
         "customers": clean_customers(raw["customers"]),
         "agents": clean_agents(raw["agents"]),
