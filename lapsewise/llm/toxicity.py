@@ -1,19 +1,20 @@
 """Operator 1: toxicity by class-conditional Kneser-Ney models.
 
-One character n-gram model per class, over the words of a document.  Both
-interpolate absolute-discounted counts down to one shared distribution, the
-counts of both classes together: an expression that neither class has seen
-often backs off to the same counts in both and tells them apart little.  Counts
-are document frequencies, so a repeated line counts once.
-
-A word's evidence is the difference of its toxic and ordinary log-likelihoods.
-A document's, the difference of its length-normalised log-likelihoods (per
-word, and per root of the words), and its most toxic word's.  A logistic map,
-fitted on labelled documents that the models did not count and weighted to the
-classes' shares, turns these into a score.
-
-The models learn from a bounded sample: ``PER_CLASS`` documents a class,
-``MAX_GRAMS`` n-grams (the rarest long ones give way to their shorter ones).
+One character n-gram model per class, over the words of a document.  The
+highest order of a model is its class's own absolute-discounted counts: whole
+contexts, and shorter ones at a word's start.  All lower orders are Kneser-Ney
+continuation counts (in how many different left contexts an n-gram was met),
+pooled over both classes: an expression that neither class has seen often backs
+off to the same probabilities in both and tells them apart little.  Counts are
+document frequencies, so a repeated line counts once.
+
+An expression, a word, is compared by the difference of its toxic and ordinary
+log-likelihoods, normalised by its length.  A document's evidence is that of
+its most toxic expression, so a long text does not dilute it.  One logistic map
+with a positive slope, fitted on labelled documents that the models did not
+count and weighted to the classes' shares, turns it into a score.
+
+The models learn from a bounded sample: ``PER_CLASS`` documents a class.
 """
 
 from __future__ import annotations
@@ -27,12 +28,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import batches, claim, materialise, prepare, utf8
 from .labelled import sample
 
-#: Documents of a class that the models learn from; n-grams that a model holds; longest n-gram; discount.
-PER_CLASS, MAX_GRAMS, ORDER, DISCOUNT = 4000, 250_000, 5, 0.75
+#: Documents of a class that the models learn from; longest n-gram; discount.
+PER_CLASS, ORDER, DISCOUNT = 4000, 5, 0.75
 #: Words whose evidence a worker keeps.
 CACHE_WORDS = 150_000
 
@@ -45,82 +47,77 @@ def words_of(text: bytes) -> list[str]:
 
 
 def grams_of(word: str, order: int) -> list[str]:
-    """All n-grams of up to ``order`` characters that end inside the word or at its end mark."""
+    """The n-gram that ends at each character of the word and at its end mark: ``order`` characters, fewer at the start."""
     s = f"^{word}$"
-    return [s[i - k: i + 1] for i in range(1, len(s)) for k in range(min(order, i + 1))]
+    return [s[max(0, i - order + 1): i + 1] for i in range(1, len(s))]
+
+
+class Shared:
+    """Kneser-Ney probabilities of the lower orders, by both classes' distinct n-grams."""
+
+    def __init__(self, grams, discount: float):
+        known = {g[i:] for g in grams for i in range(len(g))}
+        self.discount, self.met, self.total, self.types, self.cache = discount, Counter(g[1:] for g in known if len(g) > 1), Counter(), Counter(), {}
+        for gram, n in self.met.items():
+            self.total[gram[:-1]] += n
+            self.types[gram[:-1]] += 1
+        self.uniform = 1 / (self.types[""] + 1)
+
+    def __call__(self, gram: str) -> float:
+        if gram not in self.cache:
+            context = gram[:-1]
+            if not gram:
+                p = self.uniform
+            elif not self.total[context]:
+                p = self(gram[1:])
+            else:
+                p = (max(self.met[gram] - self.discount, 0) + self.discount * self.types[context] * self(gram[1:])) / self.total[context]
+            self.cache[gram] = p
+        return self.cache[gram]
 
 
 class Model:
-    """``gain``: log-likelihood difference of a seen n-gram's last character; ``shift``: of backing off from a context."""
+    """``gain``: log-likelihood difference of a seen n-gram's last character; ``shift``: of any other after a
+    seen context, in which the shared probability cancels out."""
 
     def __init__(self, rows: list[tuple[str, int, int]], order: int, discount: float):
         self.name, self.order, self.gain, self.shift = uuid.uuid4().hex, order, {}, {}
-        self.weights = np.zeros(4)
-        total, kept, share = [Counter(), Counter()], [Counter(), Counter()], Counter()
-        counts = {gram: (ordinary, toxic) for gram, ordinary, toxic in rows}
-        for gram, both in counts.items():
+        self.slope, self.base = 0.0, 0.0
+        total, types = (Counter(), Counter()), (Counter(), Counter())
+        for gram, *both in rows:
             for c, n in enumerate(both):
                 total[c][gram[:-1]] += n
-                kept[c][gram[:-1]] += max(n - discount, 0)
-            if len(gram) == 1:
-                share[gram] = sum(both)
-        base, alphabet = sum(share.values()), len(share) + 1
-        probability: dict[str, tuple[float, float]] = {}
-        for gram in sorted(counts, key=len):
-            if len(gram) == 1:
-                probability[gram] = ((share[gram] + 0.5) / (base + 0.5 * alphabet),) * 2
-            else:
-                shorter = self._backed(gram[1:], probability, total, kept)
-                context = gram[:-1]
-                probability[gram] = tuple(
-                    (max(counts[gram][c] - discount, 0) + (total[c][context] - kept[c][context]) * shorter[c]) / total[c][context]
-                    if total[c][context] else shorter[c] for c in (0, 1))
-            p = probability[gram]
+                types[c][gram[:-1]] += n > 0
+        shared = Shared([gram for gram, *_ in rows], discount)
+        back = [lambda context, c=c: discount * types[c][context] / total[c][context] if total[c][context] else 1.0 for c in (0, 1)]
+        for gram, *both in rows:
+            context, below = gram[:-1], shared(gram[1:])
+            p = [(max(n - discount, 0) / total[c][context] if n else 0.0) + back[c](context) * below for c, n in enumerate(both)]
             self.gain[gram] = math.log(p[1] / p[0])
-        for context in {*total[0], *total[1]} - {""}:
-            ratio = [(total[c][context] - kept[c][context]) / total[c][context] if total[c][context] else 1.0 for c in (0, 1)]
-            self.shift[context] = math.log(ratio[1] / ratio[0])
-
-    @staticmethod
-    def _backed(gram, probability, total, kept):
-        """Probabilities of an n-gram that may be unseen: through its context's back-off weight to a shorter one."""
-        weight = [1.0, 1.0]
-        while gram not in probability and gram:
-            for c in (0, 1):
-                if total[c][gram[:-1]]:
-                    weight[c] *= (total[c][gram[:-1]] - kept[c][gram[:-1]]) / total[c][gram[:-1]]
-            gram = gram[1:]
-        p = probability.get(gram, (1e-6, 1e-6))
-        return weight[0] * p[0], weight[1] * p[1]
+        for context in {*total[0], *total[1]}:
+            self.shift[context] = math.log(back[1](context) / back[0](context))
 
     def evidence(self, word: str) -> float:
-        s, order, gain, shift, out = f"^{word}$", self.order, self.gain, self.shift, 0.0
-        for i in range(1, len(s)):
-            for start in range(max(0, i - order + 1), i + 1):
-                known = gain.get(s[start: i + 1])
-                if known is not None:
-                    out += known
-                    break
-                out += shift.get(s[start:i], 0.0)
-        return out
-
-    def features(self, text: bytes) -> tuple[float, float, float, float]:
+        """The word's toxic less its ordinary log-likelihood, per character and end mark."""
+        out = 0.0
+        for gram in grams_of(word, self.order):
+            known = self.gain.get(gram)
+            out += known if known is not None else self.shift.get(gram[:-1], 0.0)
+        return out / (len(word) + 1)
+
+    def of_text(self, text: bytes) -> float:
+        """The evidence of the text's most toxic word; 0 without words."""
         if self.name not in _evidence:
             claim("toxicity", _evidence)
             _evidence.clear()
         known = _evidence.setdefault(self.name, {})
         if len(known) > CACHE_WORDS:
             known.clear()
-        words = words_of(text)
-        new = {w for w in words if w not in known}
-        for w in new:
-            known[w] = self.evidence(w)
-        each = [known[w] for w in words] or [0.0]
-        total = math.fsum(each)
-        return total / len(each), total / math.sqrt(len(each)), max(each), 1.0
-
-    def score(self, features: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(features @ self.weights, -40, 40)))
+        words = set(words_of(text))
+        for w in words:
+            if w not in known:
+                known[w] = self.evidence(w)
+        return max((known[w] for w in words), default=0.0)
 
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -164,48 +161,38 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, id_col:
         .groupBy("y", "word").agg(F.sum("n").alias("n"))
     grams = materialise(words.mapInArrow(count_grams, "gram string, n0 long, n1 long").groupBy("gram")
                         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "grams")
-    long = F.length("gram") > 3
-    sizes = dict(grams.groupBy(F.when(long, F.least(F.col("n0") + F.col("n1"), F.lit(1000))).otherwise(1000).alias("n"))
-                 .agg(F.count("*").alias("k")).collect())
-    least, held = 1000, 0
-    for n in sorted(sizes, reverse=True):
-        if held + sizes[n] > MAX_GRAMS and held:
-            break
-        least, held = n, held + sizes[n]
-    model = Model([tuple(r) for r in grams.where(~long | (F.col("n0") + F.col("n1") >= least)).collect()], order, discount)
-
-    rest = featured(drawn.where("part = 0").select("y", "text"), model).collect()
-    prior = math.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5))
-    model.weights = np.array([0.0, 0.0, 0.0, prior])
+    model = Model([tuple(r) for r in grams.collect()], order, discount)  # bounded by the sample
+
+    rest = found_evidence(drawn.where("part = 0").select("y", "text"), model).collect()
+    model.base = math.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5))
     y = np.array([r["y"] for r in rest])
     if len(set(y.tolist())) == 2:
-        x = np.array([[r["__f0"], r["__f1"], r["__f2"], 1.0] for r in rest])
+        x = np.array([[r["__evidence"], 1.0] for r in rest])
         weight = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum())
-        model.weights = _fit(x, y, weight * len(y) / weight.sum())
+        slope, base = _fit(x, y, weight * len(y) / weight.sum()).tolist()
+        if slope > 0:  # else the models tell nothing: the classes' shares alone
+            model.slope, model.base = slope, base
     return model
 
 
-def featured(rows: DataFrame, model: Model) -> DataFrame:
-    """Every column but the last, ``text`` (binary), and the three features of that text."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded: MAX_GRAMS n-grams
-    kept = rows.columns[:-1]
+def found_evidence(rows: DataFrame, model: Model) -> DataFrame:
+    """Every column but the last, ``text`` (binary), and the ``__evidence`` of that text."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded: the n-grams of the sample
+    kept = rows.schema.fields[:-1]
 
     def score(tables):
         for b in tables:
-            f = [shared.value.features(t) for t in b.column(len(kept)).to_pylist()]
-            columns = [b.column(i) for i in range(len(kept))] + [pa.array([x[i] for x in f], pa.float64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "__f0", "__f1", "__f2"])
+            found = [shared.value.of_text(t) for t in b.column(len(kept)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.float64())], names=[*b.schema.names[:-1], "__evidence"])
 
-    types = dict(rows.dtypes)
-    return rows.mapInArrow(score, ", ".join(f"`{k}` {types[k]}" for k in kept) + ", __f0 double, __f1 double, __f2 double")
+    return rows.mapInArrow(score, T.StructType([*kept, T.StructField("__evidence", T.DoubleType())]))
 
 
 def scored(rows: DataFrame, model: Model) -> DataFrame:
     """Every column of ``rows`` but the last, ``text`` (binary), and its ``__score``."""
-    found = featured(rows, model)
-    z = sum((F.col(f"__f{i}") * float(w) for i, w in enumerate(model.weights[:3])), F.lit(float(model.weights[3])))
+    z = F.col("__evidence") * model.slope + model.base
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
-    return found.withColumn("__score", score).drop("__f0", "__f1", "__f2")
+    return found_evidence(rows, model).withColumn("__score", score).drop("__evidence")
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,7 +212,9 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, learn: Column, label: str =
 
 def keep_clean(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that score 0.5 or more; all columns as they were."""
+    """``docs`` without the rows that score 0.5 or more; all columns as they
+    were, whatever their names.  Null and empty texts stay unless most labels
+    are toxic; repeated rows stay or go together; no rows give no rows."""
     model = train(docs, labels, label, learn, id_col, text_col)
-    rows = scored(docs.withColumn("__utf8", utf8(text_col)), model)
-    return rows.where("__score < 0.5").select(*docs.columns)
+    rows = scored(docs.select(F.struct(*docs.columns).alias("__row"), utf8(text_col).alias("text")), model)
+    return rows.where("__score < 0.5").select("__row.*")

@@ -244,7 +244,7 @@ def test_language_model_reads_two_words_of_context(spark):
 # -------------------------------------------------------------------- classifiers
 
 @pytest.mark.parametrize("score, label, folds, held, precision, recall", [
-    (toxicity.toxic_scores, "toxic", 5, 0, 0.75, 0.5), (quality.quality_scores, "quality", 3, 1, 0.95, 0.95)])
+    (toxicity.toxic_scores, "toxic", 5, 0, 0.85, 0.5), (quality.quality_scores, "quality", 3, 1, 0.95, 0.95)])
 def test_held_out_accuracy(spark, score, label, folds, held, precision, recall):
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     out = score(docs.select("doc_id", "text"), labels, fold("doc_id", folds) != held)
@@ -276,3 +276,66 @@ def test_classifiers_on_odd_rows(spark, score):
 
 def test_kept_text_digest_is_of_joined_words():
     assert hashlib.sha256(b"a b").hexdigest() == hashlib.sha256(" ".join(words_of(" a\t b ")).encode()).hexdigest()
+
+
+# ------------------------------------------------------------------ toxicity
+
+def kneser_ney(words, order, discount):
+    """Log-likelihood difference of a word per character, straight from the definition over (toxic, word, documents)."""
+    def gram(s, i):
+        return s[max(0, i - order + 1): i + 1]
+
+    top = Counter()
+    for y, word, n in words:
+        s = f"^{word}$"
+        for i in range(1, len(s)):
+            top[y, gram(s, i)] += n
+    seen = {g[k:] for _, g in top for k in range(len(g))}
+    letters = {g for g in seen if len(g) == 1 and any(len(o) > 1 and o.endswith(g) for o in seen)}
+
+    def left(g):
+        return sum(1 for o in seen if len(o) == len(g) + 1 and o[1:] == g)
+
+    def lower(g):
+        if not g:
+            return 1 / (len(letters) + 1)
+        after = [left(o) for o in seen if len(o) == len(g) and o[:-1] == g[:-1]]
+        if not sum(after):
+            return lower(g[1:])
+        return (max(left(g) - discount, 0) + discount * sum(1 for n in after if n) * lower(g[1:])) / sum(after)
+
+    def p(y, g):
+        after = [n for (c, o), n in top.items() if c == y and len(o) == len(g) and o[:-1] == g[:-1]]
+        if not after:
+            return lower(g[1:])
+        return (max(top[y, g] - discount, 0) + discount * len(after) * lower(g[1:])) / sum(after)
+
+    def evidence(word):
+        s = f"^{word}$"
+        return sum(math.log(p(1, gram(s, i)) / p(0, gram(s, i))) for i in range(1, len(s))) / (len(word) + 1)
+
+    return evidence
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_toxicity_model_equals_kneser_ney(order):
+    rng = random.Random(order)
+    words = [(rng.randrange(2), "".join(rng.choice("abcd") for _ in range(rng.randrange(1, 8))), rng.randrange(1, 5)) for _ in range(40)]
+    counts = {}
+    for y, word, n in words:
+        for g in toxicity.grams_of(word, order):
+            counts.setdefault(g, [0, 0])[y] += n
+    model = toxicity.Model([(g, *both) for g, both in counts.items()], order, 0.75)
+    direct = kneser_ney(words, order, 0.75)
+    for word in [w for _, w, _ in words] + ["", "e", "abcde", "dcbaabcd", "aaaaaaaaaaaa", "^$", "xyz"]:
+        assert abs(model.evidence(word) - direct(word)) < 1e-9
+
+
+def test_toxicity_keeps_columns_of_any_name(spark):
+    rows = [(i, "mild weather today" if i % 2 else "you rotten scum", i, "x") for i in range(60)] + [(None, None, 1, "y"), (99, "", 2, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __evidence long, __score string")
+    labels = docs.select("doc_id", (1 - F.col("doc_id") % 2).cast("int").alias("toxic")).where("doc_id < 40 and doc_id <> 98")
+    kept = toxicity.keep_clean(docs, labels, F.lit(True))
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect() if r["text"]) == list(range(1, 60, 2))
+    assert toxicity.keep_clean(docs.limit(0), labels, F.lit(True)).collect() == []
