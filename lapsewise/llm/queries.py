@@ -86,16 +86,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff scores of all documents under the counts of all documents."""
+def op9_pair_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores as below, with one word of context."""
     scored = language_model.score_documents(table(spark, sf_dir, "documents"))
     return scored.select("doc_id", "n_words", "n_backoff", F.round("log_score", 6).alias("log_score"),
                          F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
 @query
-def op9_trigram_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff scores as above, with two words of context and two backoff steps."""
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of all documents under the counts of all documents: two words of context, two backoff steps."""
     scored = language_model.score_documents(table(spark, sf_dir, "documents"), order=3)
     return scored.select("doc_id", "n_words", "n_backoff", F.round("log_score", 6).alias("log_score"),
                          F.round("mean_log_score", 6).alias("mean_log_score"))
@@ -223,7 +223,7 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS
 FROM w LEFT JOIN k USING (r)
 """
 
-ORACLE["op9_language_model"] = r"""
+ORACLE["op9_pair_model"] = r"""
 WITH t AS (
   SELECT row_number() OVER () AS r, doc_id,
          list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
@@ -243,7 +243,7 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS
 FROM t LEFT JOIN d USING (r)
 """
 
-ORACLE["op9_trigram_model"] = r"""
+ORACLE["op9_language_model"] = r"""
 WITH t AS (
   SELECT row_number() OVER () AS r, doc_id,
          list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
