@@ -13,16 +13,13 @@ from ..functions.columns import flag as _flag
 from ..functions.columns import initcap_trim
 from . import packed
 from .joins import null_safe_on
+from .ordered import heavy_keys, partitions
 from .ordered import landed as _landed
 
 # Values of a group that one task orders at most; steps of a group's sketch, whose rank error is 1 / SKETCH_ACCURACY.
 FINISH_VALUES, GRID, SKETCH_ACCURACY = 100_000, 1_000, 10_000
 
 
-# Keys of a semi-join that are looked at as heavy at most: the sketch's length.
-HEAVY_KEYS = 64
-
-
 def standardise_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """``initcap(trim(c))``; initcap splits on spaces only."""
     return df.withColumns({c: initcap_trim(c) for c in cols})
@@ -101,8 +98,11 @@ def _sketched(known: DataFrame, bounds: DataFrame | None) -> DataFrame:
 
 def impute_group_median(df: DataFrame, col: str, by: str, global_fallback: bool = False) -> DataFrame:
     """Fill nulls of ``col`` with the median of its ``by`` group, and with
-    the whole table's where a group has none and ``global_fallback`` is set."""
-    filled = _fill_from_groups(df, col, by, group_median(df, col, by))
+    the whole table's where a group has none and ``global_fallback`` is set.
+    The medians are landed, so that their size is known before the join: few
+    groups are broadcast and the rows are not dealt by the group, which may be
+    one of three."""
+    filled = _fill_from_groups(df, col, by, _landed(group_median(df, col, by)))
     if global_fallback:
         whole = filled.withColumn("__all", F.lit(0))
         filled = _fill_from_groups(whole, col, "__all", group_median(df.withColumn("__all", F.lit(0)), col, "__all")).drop("__all")
@@ -146,26 +146,20 @@ def cast_flags(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("boolean") for c in cols})
 
 
-def heavy_keys(df: DataFrame, key: str, partitions: int) -> list:
-    """Keys with more rows than a partition's share, by a frequency sketch: at
-    most ``HEAVY_KEYS``, found in one pass that combines map-side."""
-    found = df.where(F.col(key).isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k({key}, {HEAVY_KEYS}, {32 * HEAVY_KEYS})").alias("top")).first()
-    return [x["item"] for x in found["top"] or () if x["count"] * partitions > found["n"]]
-
-
-def drop_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
+def drop_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None, heavy: list | None = None) -> DataFrame:
     """Keep child rows whose key exists in the parent (left semi join).
 
     Keys that hold more than a partition's share of the child's rows are dealt
     over all partitions by a salt, and stand with every salt on the key side, a
     few rows each; the join is the same one shuffle for all rows, and no key is
     one task, whatever the session's skew handling does.  Which keys the sketch
-    names changes the layout alone, never the rows.  The salt is a hash of the
-    row, so that a task run again deals alike; rows equal in all columns share it.
+    names changes the layout alone, never the rows; ``heavy`` names them where
+    ``child`` is costly to make.  The salt is a hash of the row, so that a task
+    run again deals alike; rows equal in all columns share it.
     """
     keys = parent.select(F.col(parent_key or key).alias("__key"))
-    n = int(child.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(child, key, n)
+    n = partitions(child)
+    heavy = heavy_keys(child, key, n) if heavy is None else heavy
     if not heavy:
         return child.join(keys.withColumnRenamed("__key", key), key, "left_semi")
     salts = F.when(F.col("__key").isin(heavy), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))

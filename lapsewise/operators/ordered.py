@@ -21,6 +21,24 @@ SLICE_ROWS = 1_000_000
 
 SLICE, PLACE, TIE = "__slice", "__place", "__tie"
 
+# Keys that are looked at as heavy at most: the sketch's length.
+HEAVY_KEYS = 64
+
+
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def heavy_keys(df: DataFrame, key: str, partitions: int, nulls: bool = False) -> list:
+    """Keys with more rows than a partition's share, by a frequency sketch: at
+    most ``HEAVY_KEYS``, found in one pass that combines map-side.  The sketch
+    never counts too few.  With ``nulls`` the null key is counted like any other."""
+    null = F.col(key).isNull()
+    found = df.agg(F.count_if(~null).alias("n"), F.count_if(null).alias("nulls"), F.expr(f"approx_top_k({key}, {HEAVY_KEYS}, {32 * HEAVY_KEYS})").alias("top")).first()
+    n = found["n"] + (found["nulls"] if nulls else 0)
+    heavy = [x["item"] for x in found["top"] or () if x["item"] is not None and x["count"] * partitions > n]
+    return heavy + [None] * (nulls and found["nulls"] * partitions > n)
+
 
 def _in_slice():
     return Window.partitionBy(SLICE).orderBy(PLACE)
@@ -40,8 +58,7 @@ def slices(df: DataFrame, order: Sequence[str | Column], slice_rows: int = SLICE
     Rows equal in ``order`` are placed as they are read, and may lie in several
     slices: a hot key spreads like any other rows.  No rows give no rows.
     """
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // slice_rows))
+    n = max(partitions(df), -(-df.count() // slice_rows))
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
     placed = (df.withColumn(TIE, F.monotonically_increasing_id())
               .repartitionByRange(n, *keys, F.col(TIE)).sortWithinPartitions(*keys, TIE).drop(TIE)
@@ -76,11 +93,18 @@ def previous(df: DataFrame, key: str, order: Sequence[str | Column], columns: di
              slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``df`` plus, for each ``name: column`` of ``columns``, the column's value in the row before of the same ``key``.
 
-    What ``lag(column) over (partition by key order by order)`` gives, but no
-    key is a group: a slice is cut by row numbers, ``lag`` runs inside slices,
-    and a slice's first row takes the last row of the nearest slice before it
-    that has rows.  Null keys are one key, as in a window; a first row gets null.
+    What ``lag(column) over (partition by key order by order)`` gives, rows
+    equal in ``order`` in the order they are read.  That window is used, one
+    shuffle and nothing landed, where no key holds more than a partition's share
+    of the rows.  Else no key is a group: a slice is cut by row numbers, ``lag``
+    runs inside slices, and a slice's first row takes the last row of the nearest
+    slice before it that has rows.  Null keys are one key, as in a window; a
+    first row gets null.
     """
+    if not heavy_keys(df, key, partitions(df), nulls=True):
+        tied = df.withColumn(TIE, F.monotonically_increasing_id())
+        before = Window.partitionBy(key).orderBy(*order, TIE)
+        return tied.withColumns({n: F.lag(c).over(before) for n, c in columns.items()}).drop(TIE)
     sliced = slices(df, [F.col(key).asc_nulls_first(), *order], slice_rows)
     held = F.struct(F.col(key).alias("__key"), *[F.col(c).alias(n) for n, c in columns.items()])
     last = sliced.groupBy(SLICE).agg(F.max_by(held, F.col(PLACE)).alias("__last"))

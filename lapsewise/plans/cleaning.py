@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.columns import date_lit
 from ..operators import clean as C
+from ..operators.ordered import heavy_keys, partitions
 
 CUSTOMER_COLUMNS = ["customer_id", "customer_name", "customer_age", "customer_gender", "customer_city",
                     "customer_occupation", "customer_income_bracket", "is_invalid_age"]
@@ -96,16 +97,23 @@ PAYMENT_ORDER = ["l_partkey", "l_suppkey", "l_shipdate"]
 
 
 def clean_payments(payments: DataFrame, policies: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """One row per key first: its exchange spreads a policy with many payments,
-    and the orphan join comes last, where AQE may split what is left of it
-    (the policy is part of the key, so the order changes no result)."""
+    """Orphans dropped and one row per key kept; the policy is part of the key,
+    so the order of the two changes no result.  Where no policy holds more than
+    a partition's share of the payments, the orphan join comes first and its
+    exchange on the policy serves the de-duplication too.  Else the key is made
+    unique first: its exchange spreads a policy with many payments and combines
+    a repeated one map-side.  Heavy policies are looked for in the payments as
+    read, which shuffles nothing."""
     order = PAYMENT_ORDER if order is None else order
+    heavy = heavy_keys(payments, "policy_id", partitions(payments))
     df = C.cast_flags(payments, ["is_missed", "is_in_grace_period"])
     df = df.withColumnRenamed("is_missed", "is_missed_premium")
+    if not heavy:
+        df = C.drop_orphans(df, policies, "policy_id", heavy=heavy)
     df = C.dedupe(df, PAYMENT_KEY, order=[c for c in order if c in df.columns])
     df = df.drop(*[c for c in PAYMENT_ORDER if c in df.columns])
     df = C.add_flags(df, {"is_invalid_amount": F.col("premium_amount") < 0})
-    return C.drop_orphans(df, policies, "policy_id")
+    return C.drop_orphans(df, policies, "policy_id", heavy=heavy) if heavy else df
 
 
 def clean_all(raw: dict[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:
