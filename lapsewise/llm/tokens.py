@@ -21,14 +21,16 @@ from pyspark.sql import functions as F
 
 from .common import batches, claim, prepare, utf8
 
-#: Words, and parts that hold more than a word, whose ids a worker keeps (two generations of this size at most).
-CACHE_WORDS, CACHE_PARTS = 220_000, 50_000
+#: Parts that follow a space, and other pre-tokens, whose ids a worker keeps (two generations of this size at most).
+CACHE_WORDS, CACHE_PARTS = 250_000, 20_000
 
 # Characters whose pre-token class is the same in every regex engine and Unicode version.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PUNCTUATION = ".,;:!?|%&$*#@()\\-/"
 #: Byte-level alphabet: printable bytes stand for themselves, the others, in order, for the characters from 256 on.
 BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
+_MARKS = PUNCTUATION.replace("\\", "")
+_SPACE, _LINE = (chr(BYTE_LEVEL[b]) for b in b" \n")
 _SPACE_RUN = re.compile(r"\s ")
 _RUNS = [chr(c) + " " for c in (*range(9, 14), *range(28, 33))]  # the same for ASCII texts
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -86,8 +88,13 @@ class Encoder:
         self.words, self.parts = _Cache(CACHE_WORDS), _Cache(CACHE_PARTS)
 
     def _piece(self, piece: str) -> bytes:
-        """Ids of one pre-token, its bytes spelled in the byte-level alphabet."""
-        spelled = (piece.lower() if self.lower else piece).encode().decode("latin-1").translate(BYTE_LEVEL)
+        """Ids of one pre-token of plain characters, its bytes spelled in the byte-level alphabet."""
+        if self.lower:
+            piece = piece.lower()
+        if piece.isascii():  # all but a space and a line's end stand for themselves
+            spelled = piece.replace(" ", _SPACE).replace("\n", _LINE)
+        else:
+            spelled = piece.encode().decode("latin-1").translate(BYTE_LEVEL)
         return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _whole(self, part: str) -> bytes:
@@ -104,13 +111,19 @@ class Encoder:
 
     def _after_space(self, rest: str) -> bytes:
         """Ids of a space and ``rest``, which holds none at its start."""
-        part = " " + rest
-        ids = self.parts.get(part)
-        if ids is None:
-            if self.is_word(rest):
-                return self.words.get(rest) or self.words.put(rest, self._piece(self.space + rest))
-            ids = self.parts.put(part, self._whole(part))
-        return ids
+        ids = self.words.get(rest)
+        if ids is not None:
+            return ids
+        if self.is_word(rest):
+            ids = self._piece(self.space + rest)
+        else:
+            word = rest.rstrip(_MARKS)
+            if len(word) < len(rest) and self.is_word(word):  # most other parts: a word and the marks after it
+                marks = rest[len(word):]
+                ids = self._after_space(word) + (self.parts.get(marks) or self.parts.put(marks, self._piece(marks)))
+            else:
+                ids = self._whole(" " + rest)
+        return self.words.put(rest, ids)
 
     def encode(self, text: str) -> bytes:
         if any(run in text for run in _RUNS) if text.isascii() else _SPACE_RUN.search(text):
