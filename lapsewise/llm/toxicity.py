@@ -108,7 +108,6 @@ class Model:
     def of_text(self, text: bytes) -> float:
         """The evidence of the text's most toxic word; 0 without words."""
         if self.name not in _evidence:
-            claim("toxicity", _evidence)
             _evidence.clear()
         known = _evidence.setdefault(self.name, {})
         if len(known) > CACHE_WORDS:
@@ -142,12 +141,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, id_col:
     drawn = materialise(drawn, "labelled")
 
     def count_words(tables):
+        claim("toxicity", _evidence)
         schema = pa.schema([("y", pa.int32()), ("word", pa.string()), ("n", pa.int64())])
         for b in tables:
             seen = Counter((y, w) for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for w in set(words_of(text)))
             yield batches({"y": [k[0] for k in seen], "word": [k[1] for k in seen], "n": list(seen.values())}, schema)
 
     def count_grams(tables):
+        claim("toxicity", _evidence)
         schema = pa.schema([("gram", pa.string()), ("n0", pa.int64()), ("n1", pa.int64())])
         for b in tables:
             seen = (Counter(), Counter())
@@ -181,6 +182,7 @@ def found_evidence(rows: DataFrame, model: Model) -> DataFrame:
     kept = rows.schema.fields[:-1]
 
     def score(tables):
+        claim("toxicity", _evidence)  # before the model is read: other operators' caches go first
         for b in tables:
             found = [shared.value.of_text(t) for t in b.column(len(kept)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.float64())], names=[*b.schema.names[:-1], "__evidence"])
