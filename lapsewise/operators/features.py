@@ -99,8 +99,7 @@ def gap_rows(payments: DataFrame, dates: DataFrame, key: str = "policy_id", tie:
     """E16 / J7 as rows: every payment whose date is in the calendar, with the
     days since the policy's payment before it (by date, then ``tie``: which of
     a day's payments has its gap to the day before).  No
-    policy is a group: the payments are sorted over slices of a bounded number
-    of rows and the date is carried over their edges."""
+    heavy policy is a group (``ordered.previous``)."""
     cal = dates.select("date_id", F.col("date").alias("payment_date"))
     seen = ordered.previous(payments.join(cal, "date_id", "inner"), key, ["payment_date", *([F.col(tie).asc_nulls_first()] if tie else [])],
                             {"__before": "payment_date"})

@@ -94,10 +94,9 @@ def policies(orders: DataFrame) -> DataFrame:
 
 def previous_status(events: DataFrame) -> DataFrame:
     """``events`` plus the ``current_status`` of the same policy's event before
-    it in (date, event) order, with no policy as a group: the events are sorted
-    over slices of a bounded number of rows and the status is carried over
-    their edges (``ordered.previous``; the sorted slices are landed).  Events
-    with a null policy, date or id are kept; null policies are one policy.
+    it in (date, event) order, with no heavy policy as a group
+    (``ordered.previous``).  Events with a null policy, date or id are kept;
+    null policies are one policy.
     """
     return ordered.previous(events, "policy_id", [F.col("date_id").asc_nulls_first(), F.col("event_id").asc_nulls_first()],
                             {"previous_status": "current_status"})
@@ -181,7 +180,7 @@ def agents(supplier: DataFrame) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight raw domain tables over one driver directory; lazy, but for the events, whose order is landed in slices."""
+    """The eight raw domain tables over one driver directory; lazy, but for a look for heavy policies in the events, whose order is landed in slices if there are any."""
     rd = lambda name: read_driver(spark, sf_dir, name)
     return {
         "customers": customers(rd("customer")),
