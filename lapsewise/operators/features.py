@@ -36,25 +36,31 @@ def event_summary(events: DataFrame, dates: DataFrame, key: str = "policy_id") -
     )
 
 
-def payment_days(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> DataFrame:
+def payment_days(payments: DataFrame, dates: DataFrame, key: str = "policy_id", fit_on: DataFrame | None = None) -> DataFrame:
     """Payments combined per (policy, calendar day), with the gap in days to the
     policy's previous payment day.  Columns: key, ``__day`` (null when the
     date is missing from the calendar), ``__n`` payments, ``__amt`` valid
     amount, ``__gap``.
 
     The ordered window runs over distinct payment days only (bounded by the
-    calendar), so a policy holding a large share of all payments is combined
-    map-side first instead of becoming one huge sorted partition.
+    calendar).  Where no policy holds more than a partition's share of the
+    payments, they are dealt by policy once, for the days, the window and what
+    groups by policy after it.  Else a policy holding a large share is combined
+    map-side first instead of becoming one huge sorted partition.  Heavy
+    policies are looked for in ``fit_on`` if given: the rows of ``payments`` and
+    maybe more, where ``payments`` itself is costly to make.
     """
     cal = dates.select("date_id", F.col("date").alias("__day"))
     p = payments.select(key, "date_id", "premium_amount", "is_invalid_amount").join(cal, "date_id", "left")
-    valid_amount = F.when(~F.col("is_invalid_amount"), F.col("premium_amount"))
-    per_day = p.groupBy(key, "__day").agg(F.count(F.lit(1)).alias("__n"), F.sum(valid_amount).alias("__amt"))
+    p = p.select(key, "__day", F.when(~F.col("is_invalid_amount"), F.col("premium_amount")).alias("__valid"))
+    if not ordered.heavy_keys(payments if fit_on is None else fit_on, key, ordered.partitions(payments), nulls=True):
+        p = p.repartition(F.col(key))
+    per_day = p.groupBy(key, "__day").agg(F.count(F.lit(1)).alias("__n"), F.sum("__valid").alias("__amt"))
     w = Window.partitionBy(key).orderBy("__day")
     return per_day.withColumn("__gap", F.datediff(F.col("__day"), F.lag("__day").over(w)))
 
 
-def payment_summary(payments: DataFrame, dates: DataFrame, key: str = "policy_id") -> DataFrame:
+def payment_summary(payments: DataFrame, dates: DataFrame, key: str = "policy_id", fit_on: DataFrame | None = None) -> DataFrame:
     """E2 + E16 + E17 in one pass.
 
     * ``total_premium_received`` — sum of amounts not flagged invalid.
@@ -67,7 +73,7 @@ def payment_summary(payments: DataFrame, dates: DataFrame, key: str = "policy_id
     day, so the median is read from the sorted day gaps and the zero count;
     the day-gap list is bounded by the calendar size.
     """
-    s = payment_days(payments, dates, key).groupBy(key).agg(
+    s = payment_days(payments, dates, key, fit_on).groupBy(key).agg(
         F.sum("__amt").alias("__received"),
         F.sum(F.when(F.col("__day").isNotNull(), F.col("__n"))).alias("__rows"),
         F.count("__day").alias("__days"),

@@ -28,12 +28,19 @@ CUSTOMER_FEATURE_COLUMNS = [
 ]
 
 
+def passes_through(columns: list[str]) -> bool:
+    """Whether all ``columns`` of cleaned policies stand in the feature table as they are."""
+    made = {name for name, _ in E.policy_feature_columns(K.FIXTURE_AS_OF)}
+    return set(columns) <= set(POLICY_FEATURE_COLUMNS) - made
+
+
 def build_policy_features(policies: DataFrame, payments: DataFrame, events: DataFrame, dates: DataFrame,
-                          as_of: dt.date) -> DataFrame:
+                          as_of: dt.date, fit_on: DataFrame | None = None) -> DataFrame:
     """Cleaned policies + two per-policy summaries, two joins on the
-    policy key (the second reuses the first's partitioning)."""
+    policy key (the second reuses the first's partitioning).  ``fit_on`` as in
+    ``payment_days``."""
     df = (policies
-          .join(E.payment_summary(payments, dates), "policy_id", "left")
+          .join(E.payment_summary(payments, dates, fit_on=fit_on), "policy_id", "left")
           .join(E.event_summary(events, dates), "policy_id", "left"))
     for name, expr in E.policy_feature_columns(as_of):
         df = df.withColumn(name, expr)

@@ -23,7 +23,7 @@ from ..sources import adapter
 from ..sources.io import read_layer, write_layer
 from ..sources.measured import read_checks, write_measured
 from . import cleaning
-from .features import build_customer_features, build_policy_features
+from .features import build_customer_features, build_policy_features, passes_through
 
 CLEAN_TABLES = ("customers", "agents", "channels", "products", "dates", "policies", "policy_events",
                 "premium_payments")
@@ -68,7 +68,7 @@ def lazy_model(spark: SparkSession, sf_dir: str, as_of: dt.date = K.FIXTURE_AS_O
     raw = adapter.raw_tables(spark, sf_dir)
     clean = cleaning.clean_all(raw, as_of)
     pf = build_policy_features(clean["policies"], clean["premium_payments"], clean["policy_events"],
-                               clean["dates"], as_of)
+                               clean["dates"], as_of, fit_on=raw["premium_payments"])
     cf = build_customer_features(clean["customers"], pf, clean["policy_events"])
     return Model(spark, {**clean, "policy_features": pf, "customer_features": cf}, as_of)
 
@@ -109,7 +109,10 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
 
     # base cleaning keeps every policy row, so the orphan checks of events and
     # payments read only the raw policy keys; the policies table itself is
-    # written once, after its status refresh
+    # written once, after its status refresh.  The policies are dealt by their
+    # key once, for the refresh and both summaries of their features; a feature
+    # row is a cleaned row with more columns, so the cleaned table is read off it
+    # (raw policies with columns that the features drop or make are written first)
     keys = raw["policies"].select("policy_id")
     first = stages({
         "clean/policy_events": lambda: cleaning.clean_events(raw["policy_events"], keys),
@@ -122,9 +125,14 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_o
     })
     t = {k.split("/", 1)[1]: v for k, v in first.items()}
     base = cleaning.clean_policies_base(raw["policies"], as_of)
-    t["policies"] = stage("clean/policies", cleaning.refresh_policy_status(base, t["policy_events"]))
-    pf = stage("features/policies", build_policy_features(t["policies"], t["premium_payments"],
+    refreshed = cleaning.refresh_policy_status(base, t["policy_events"])
+    kept = passes_through(refreshed.columns)
+    if not kept:
+        refreshed = t["policies"] = stage("clean/policies", refreshed)
+    pf = stage("features/policies", build_policy_features(refreshed, t["premium_payments"],
                                                           t["policy_events"], t["dates"], as_of))
+    if kept:
+        t["policies"] = stage("clean/policies", pf.select(*refreshed.columns))
     cf = stage("features/customers", build_customer_features(t["customers"], pf, t["policy_events"]))
     checks = read_checks(spark, root, [*first, "clean/policies", *LAYER_TABLES])
     return Model(spark, {**t, "policy_features": pf, "customer_features": cf}, as_of, timings, checks)

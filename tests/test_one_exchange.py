@@ -5,10 +5,13 @@ import os
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lapsewise.functions import constants as K
 from lapsewise.operators import clean as C
+from lapsewise.operators import features as E
 from lapsewise.operators import ordered
-from lapsewise.plans import cleaning
+from lapsewise.plans import cleaning, pipeline
 from lapsewise.session import shared_dir
+from lapsewise.sources import adapter
 
 
 def exchanges(df):
@@ -72,3 +75,43 @@ def test_rows_are_not_dealt_by_the_group_of_their_median(spark):
     df = spark.range(3000).select("id", (F.col("id") % 3).alias("g"), F.when(F.col("id") % 7 > 0, F.col("id").cast("double")).alias("v"))
     filled = C.impute_group_median(df, "v", "g")
     assert exchanges(filled) == 0 and filled.where("v is null").count() == 0
+
+
+def test_payment_days_are_shuffled_once_unless_a_policy_is_heavy(spark):
+    dates = spark.range(40).select(F.col("id").cast("int").alias("date_id"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
+    i = F.col("id")
+
+    def days(policy):
+        pay = spark.range(4000).select(policy.cast("long").alias("policy_id"), (i * 7 % 45).cast("int").alias("date_id"),
+                                       (i % 90 - 5).cast("decimal(18,2)").alias("premium_amount"), (i % 90 < 5).alias("is_invalid_amount"))
+        return pay, E.payment_days(pay, dates)
+
+    even, heavy = i % 500, F.when(i % 3 == 0, 5).when(i % 7 == 0, None).otherwise(i % 500)
+    assert exchanges(days(even)[1].groupBy("policy_id").count()) == 1
+    assert exchanges(days(heavy)[1]) == 2
+    for policy in (even, heavy):
+        pay, got = days(policy)
+        want = pay.join(dates, "date_id", "left").groupBy("policy_id", F.col("date").alias("d")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.expr("if(is_invalid_amount, null, premium_amount)")).alias("a"))
+        gap = F.datediff("d", F.lag("d").over(Window.partitionBy("policy_id").orderBy("d")))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.withColumn("g", gap).toDF(*got.columns).collect()))
+
+
+def test_policies_are_shuffled_once_for_the_refresh_and_their_features(spark, monkeypatch, tmp_path):
+    plans, write = {}, pipeline.write_measured
+
+    def record(df, root, name, **kw):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        write(df, root, name, **kw)
+
+    monkeypatch.setattr(pipeline, "write_measured", record)
+    raw = adapter.raw_tables(spark, "/root/testdata/sf0.001")
+    model = without_broadcast(spark, lambda: pipeline.run_pipeline(spark, raw, str(tmp_path / "a"), K.FIXTURE_AS_OF))
+    assert "Exchange" not in plans["clean/policies"]
+    # a column that the features don't have keeps its place in the cleaned table
+    raw["policies"] = raw["policies"].withColumn("note", F.concat(F.lit("n"), "policy_id"))
+    wider = pipeline.run_pipeline(spark, raw, str(tmp_path / "b"), K.FIXTURE_AS_OF)
+    assert wider["policies"].where("note = concat('n', policy_id)").count() == raw["policies"].count()
+    for name in ("policies", "policy_features"):
+        same, columns = model[name], model[name].columns
+        assert same.exceptAll(wider[name].select(*columns)).count() == 0 == wider[name].select(*columns).exceptAll(same).count()
