@@ -31,6 +31,8 @@ from .tokens import token_ids
 
 #: Ids between two checkpoints; ids after which a block is closed; the longest code.
 STEP, BLOCK_IDS, MAX_BITS = 256, 1 << 19, 16
+#: Words whose ids a worker keeps in a generation: about 250 MB in both generations at most.
+WORDS = 600_000
 
 BLOCKS = ("shard int, block int, first long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, "
           "checkpoints binary, payload binary")
@@ -81,7 +83,7 @@ def pack(codes: np.ndarray, bits: np.ndarray) -> tuple[bytes, np.ndarray]:
     ends = np.cumsum(bits)
     at = ends - bits
     word = at >> 5
-    value = codes.astype(np.uint64) << (np.uint64(64) - (at & 31).astype(np.uint64) - bits.astype(np.uint64))
+    value = codes.astype(np.uint64) << (64 - (at & 31) - bits).astype(np.uint64)
     words = np.zeros(int((ends[-1] + 31) >> 5) + 2 if len(ends) else 2, np.uint64)
     if len(ends):
         firsts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
@@ -145,7 +147,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
     document lies in one block.
     """
     spark = docs.sparkSession
-    tokens = materialise(token_ids(docs, vocabulary, end_id, id_col, text_col, dtype), "ids")
+    tokens = materialise(token_ids(docs, vocabulary, end_id, id_col, text_col, dtype, WORDS), "ids")
     ids, bits = codebook(tokens, dtype, max_bits)
     spark.createDataFrame([(int(i), int(b)) for i, b in zip(ids, bits, strict=True)], "id long, bits int") \
         .coalesce(1).write.parquet(f"{path}/codebook")

@@ -16,6 +16,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ from .common import batches, claim, prepare, utf8
 
 #: Parts that follow a space, and other pre-tokens, whose ids a worker keeps (two generations of this size at most).
 CACHE_WORDS, CACHE_PARTS = 250_000, 20_000
+#: Bytes of text that are encoded at once: more share more words, and take more memory.
+BATCH_BYTES = 12 << 20
 
 # Characters whose pre-token class is the same in every regex engine and Unicode version.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -31,11 +34,17 @@ PUNCTUATION = ".,;:!?|%&$*#@()\\-/"
 BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
 _MARKS = PUNCTUATION.replace("\\", "")
 _SPACE, _LINE = (chr(BYTE_LEVEL[b]) for b in b" \n")
-_SPACE_RUN = re.compile(r"\s ")
-_RUNS = [chr(c) + " " for c in (*range(9, 14), *range(28, 33))]  # the same for ASCII texts
+#: A white-space character (what ``\\s`` matches) and a space: in ASCII texts, and in all.
+_RUNS = [chr(c) + " " for c in (*range(9, 14), *range(28, 33))]
+_ALL_RUNS = _RUNS + [chr(c) + " " for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
+def _has_run(text: str) -> bool:
+    """Whether a white-space character stands before a space."""
+    return any([run in text for run in (_RUNS if text.isascii() else _ALL_RUNS)])
+
+
 class _Cache:
     """Ids of parts in two generations of at most ``size`` parts each."""
 
@@ -56,21 +65,25 @@ class _Cache:
         self.new[part] = ids
         return ids
 
+    def put_early(self, part: str, ids: bytes) -> bytes:
+        """``put`` in the first half of a generation, where what is frequent turns up."""
+        return self.put(part, ids) if 2 * len(self.new) < self.size else ids
+
 
 class Encoder:
     """Encodes texts to little-endian id bytes; one per worker process and vocabulary file."""
 
-    _open: dict[tuple[str, str], Encoder] = {}
+    _open: dict[tuple[str, str, int], Encoder] = {}
 
     @classmethod
-    def of(cls, path: str, dtype: str) -> Encoder:
+    def of(cls, path: str, dtype: str, words: int = CACHE_WORDS) -> Encoder:
         claim("tokens", cls._open)
-        if (path, dtype) not in cls._open:
+        if (path, dtype, words) not in cls._open:
             cls._open.clear()
-            cls._open[path, dtype] = cls(path, dtype)
-        return cls._open[path, dtype]
+            cls._open[path, dtype, words] = cls(path, dtype, words)
+        return cls._open[path, dtype, words]
 
-    def __init__(self, path: str, dtype: str = "<u4"):
+    def __init__(self, path: str, dtype: str = "<u4", words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -85,7 +98,7 @@ class Encoder:
         self.find = re.compile(f"{gap}[{LETTERS}]+|{gap}{digits}|{gap}[{PUNCTUATION}]+{line}").findall
         self.plain = re.compile(f" ?{solid}+(?:\n{solid}+)*").fullmatch
         self.is_word = re.compile(f"[{LETTERS}]+").fullmatch
-        self.words, self.parts = _Cache(CACHE_WORDS), _Cache(CACHE_PARTS)
+        self.words, self.parts = _Cache(words), _Cache(CACHE_PARTS)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one pre-token of plain characters, its bytes spelled in the byte-level alphabet."""
@@ -97,6 +110,12 @@ class Encoder:
             spelled = piece.encode().decode("latin-1").translate(BYTE_LEVEL)
         return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """``_piece`` of a word of letters and the space before it."""
+        if self.space and not self.lower and word.isascii():
+            return array(self.code, [t.id for t in self.model.tokenize(_SPACE + word)]).tobytes()
+        return self._piece(self.space + word)
+
     def _whole(self, part: str) -> bytes:
         """Ids of a text that is cut before a space or at its ends."""
         if not self.plain(part):
@@ -114,19 +133,18 @@ class Encoder:
         ids = self.words.get(rest)
         if ids is not None:
             return ids
-        if self.is_word(rest):
-            ids = self._piece(self.space + rest)
-        else:
-            word = rest.rstrip(_MARKS)
-            if len(word) < len(rest) and self.is_word(word):  # most other parts: a word and the marks after it
-                marks = rest[len(word):]
-                ids = self._after_space(word) + (self.parts.get(marks) or self.parts.put(marks, self._piece(marks)))
-            else:
-                ids = self._whole(" " + rest)
-        return self.words.put(rest, ids)
+        if rest.isalpha() and (rest.isascii() or self.is_word(rest)):
+            return self.words.put(rest, self._word(rest))
+        word = rest.rstrip(_MARKS)
+        if len(word) < len(rest) and word.isalpha() and (word.isascii() or self.is_word(word)):
+            # most other parts: a word and the marks after it, quickly put together again where they aren't kept
+            marks = rest[len(word):]
+            ids = self._after_space(word) + (self.parts.get(marks) or self.parts.put(marks, self._piece(marks)))
+            return self.words.put_early(rest, ids)
+        return self.words.put(rest, self._whole(" " + rest))
 
     def encode(self, text: str) -> bytes:
-        if any(run in text for run in _RUNS) if text.isascii() else _SPACE_RUN.search(text):
+        if _has_run(text):
             first, *rest = _CUT.split(text)
             rest = [x[1:] for x in rest]
         else:
@@ -135,6 +153,35 @@ class Encoder:
         ids = b"".join([known(x) or other(x) for x in rest])
         return self._whole(first) + ids if first else ids
 
+    def encode_all(self, texts: list[bytes], end: bytes) -> pa.Array:
+        """``encode`` of each UTF-8 text with ``end`` after it.  The texts are
+        split and put together by Arrow, so that what follows a space is looked
+        up once per call, however often it stands in the texts."""
+        heads, rests = [], []
+        for raw in texts:
+            text = raw.decode("utf-8", "replace")
+            first, space, rest = text.partition(" ")
+            if space and _has_run(text):
+                heads.append(self.encode(text))
+                rests.append(None)
+            else:
+                heads.append(self._whole(first) if first else b"")
+                rests.append(rest if space else None)
+        lists = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        pieces = lists.flatten().dictionary_encode()
+        known, other = self.words.new.get, self._after_space
+        ids = [known(x) or other(x) for x in pieces.dictionary.to_pylist()]
+        # each text: its head, what follows its spaces, its end
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy() + 2)
+        order = np.full(int(ends[-1]) if len(ends) else 0, -1, np.int64)
+        order[np.concatenate([[0], ends[:-1]])[: len(ends)]] = len(ids) + 1 + np.arange(len(ends))
+        order[ends - 1] = len(ids)
+        order[order < 0] = pieces.indices.to_numpy()
+        flat = pa.array([*ids, end, *heads], pa.large_binary()).take(pa.array(order))
+        at = np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1, 8 * flat.offset)
+        bounds = np.concatenate([at[:1], at[ends]])
+        return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(bounds), flat.buffers()[2]]).cast(pa.binary())
+
 
 def id_type(path: str) -> str:
     """The narrowest little-endian unsigned type that holds every id of the vocabulary."""
@@ -144,17 +191,27 @@ def id_type(path: str) -> str:
 
 
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-              dtype: str = "<u4") -> DataFrame:
-    """``(doc_id, ids)``: each row's ids, the end id last, as little-endian bytes of ``dtype``."""
+              dtype: str = "<u4", words: int = CACHE_WORDS) -> DataFrame:
+    """``(doc_id, ids)``: each row's ids, the end id last, as little-endian bytes of ``dtype``.
+
+    ``words`` bounds a generation of what a worker keeps, about 200 bytes each.
+    """
     prepare(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
     end = np.array([end_id], dtype).tobytes()
 
     def encode(tables):
-        encoder = Encoder.of(vocabulary, dtype)
+        encoder = Encoder.of(vocabulary, dtype, words)
+        names, texts, held = [], [], 0
         for b in tables:
-            ids = [encoder.encode(x.decode("utf-8", "replace")) + end for x in b.column(1).to_pylist()]
-            yield batches({"doc_id": b.column(0), "ids": ids}, schema)
+            names += b.column(0).to_pylist()
+            texts += b.column(1).to_pylist()
+            held += b.nbytes
+            if held >= BATCH_BYTES:
+                yield batches({"doc_id": names, "ids": encoder.encode_all(texts, end)}, schema)
+                names, texts, held = [], [], 0
+        if names:
+            yield batches({"doc_id": names, "ids": encoder.encode_all(texts, end)}, schema)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
     return source.mapInArrow(encode, "doc_id long, ids binary")
