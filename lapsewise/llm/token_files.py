@@ -78,18 +78,33 @@ def canonical_codes(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return codes
 
 
-def pack(codes: np.ndarray, bits: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """Codes one after another as big-endian 32-bit words; the bit offset of each."""
-    ends = np.cumsum(bits)
-    at = ends - bits
-    word = at >> 5
-    value = codes.astype(np.uint64) << (64 - (at & 31) - bits).astype(np.uint64)
-    words = np.zeros(int((ends[-1] + 31) >> 5) + 2 if len(ends) else 2, np.uint64)
-    if len(ends):
+def pack(ids: np.ndarray, code_of: np.ndarray, bits_of: np.ndarray, step: int = STEP, run: int = 128) -> tuple[bytes, np.ndarray]:
+    """The codes of ``ids`` one after another as big-endian 32-bit words; the bit offset of every ``step``-th.
+
+    ``run`` checkpoints are packed at a time, so that what a pass leaves is still
+    in the processor's cache for the next.
+    """
+    widest = int(bits_of.max(initial=1))
+    code_of, bits_of = code_of.astype(np.uint64), bits_of.astype(np.int64)
+    words = np.zeros(len(ids) * widest // 32 + 3, np.uint64)
+    checkpoints, total = [np.zeros(0, np.int64)], 0
+    for first in range(0, len(ids), run * step):
+        part = ids[first: first + run * step]
+        codes, n = code_of[part], bits_of[part]
+        at = np.cumsum(n)
+        at += total - n
+        total = int(at[-1] + n[-1])
+        checkpoints.append(at[::step])
+        if widest <= 16:  # two codes fit where one is put
+            if len(n) % 2:
+                codes, n, at = np.append(codes, np.uint64(0)), np.append(n, 0), np.append(at, total)
+            codes, n, at = (codes[::2] << n[1::2].astype(np.uint64)) | codes[1::2], n[::2] + n[1::2], at[::2]
+        word = at >> 5
+        value = codes << (64 - (at & 31) - n).astype(np.uint64)
         firsts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         words[word[firsts]] += np.add.reduceat(value >> np.uint64(32), firsts)
         words[word[firsts] + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), firsts)
-    return words.astype(">u4").tobytes(), at
+    return words[: ((total + 31) >> 5) + 2].astype(">u4").tobytes(), np.concatenate(checkpoints)
 
 
 def unpack(payload: bytes, checkpoints: np.ndarray, n: int, symbol: np.ndarray, width: np.ndarray, max_bits: int,
@@ -163,11 +178,11 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
         names, parts, held = [], [], 0
 
         def close():
-            flat = np.frombuffer(b"".join(parts), dtype).astype(np.int64)
-            payload, at = pack(code_of[flat], bits_of[flat])
+            flat = np.frombuffer(b"".join(parts), dtype)
+            payload, checkpoints = pack(flat, code_of, bits_of)
             return batches({"shard": [shard], "block": [block], "first": [first], "n_ids": [len(flat)],
                             "doc_ids": [names], "lengths": [[len(p) // np.dtype(dtype).itemsize for p in parts]],
-                            "checkpoints": [at[::STEP].astype("<u8").tobytes()], "payload": [payload]}, schema)
+                            "checkpoints": [checkpoints.astype("<u8").tobytes()], "payload": [payload]}, schema)
 
         for b in tables:
             for name, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):

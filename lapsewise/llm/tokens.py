@@ -42,7 +42,7 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 
 def _has_run(text: str) -> bool:
     """Whether a white-space character stands before a space."""
-    return any([run in text for run in (_RUNS if text.isascii() else _ALL_RUNS)])
+    return any([run in text for run in (_RUNS if text.isascii() else _ALL_RUNS) if run[0] in text])  # few such characters stand in a text
 
 
 class _Cache:

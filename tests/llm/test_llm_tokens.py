@@ -113,3 +113,16 @@ def test_code_lengths_are_optimal_and_limited():
         assert tight.max() <= limit and (2.0 ** -tight).sum() <= 1
     with pytest.raises(ValueError):
         token_files.code_lengths(np.ones(5, np.int64), 2)
+
+
+def test_packed_codes_are_the_bits_one_after_another():
+    rng = np.random.default_rng(2)
+    for widest in (1, 5, 16, 17):
+        bits = rng.integers(1, widest + 1, 40)
+        codes = rng.integers(0, 1 << 20, 40) % (1 << bits)
+        for n in (0, 1, 2, 5, 8, 9, 33):
+            ids = rng.integers(0, 40, n).astype("<u2")
+            payload, checkpoints = token_files.pack(ids, codes, bits, step=2, run=2)  # in several runs
+            spelled = "".join(format(codes[i], f"0{bits[i]}b") for i in ids)
+            assert "".join(format(b, "08b") for b in payload).startswith(spelled) and not any(payload[-(-len(spelled) // 8):])
+            assert checkpoints.tolist() == [0, *np.cumsum(bits[ids]).tolist()][:n:2]
