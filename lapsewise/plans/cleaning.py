@@ -77,8 +77,9 @@ def clean_policies_base(policies: DataFrame, as_of: dt.date) -> DataFrame:
 
 def clean_events(events: DataFrame, policies: DataFrame) -> DataFrame:
     df = C.add_flags(events, {"is_first_event": F.col("previous_status").isNull()})
+    df, read = C.packed_rest(df, ["event_id", "policy_id"], ["date_id"])
     df = C.drop_orphans(df, policies, "policy_id")
-    df = C.dedupe(df, ["event_id"], order=["date_id", "policy_id"])
+    df = read(C.dedupe(df, ["event_id"], order=[df.columns[2], "policy_id"]))
     return df.withColumnRenamed("is_renewed", "is_renewed_event")
 
 
@@ -100,7 +101,8 @@ def clean_payments(payments: DataFrame, policies: DataFrame, order: list[str] |
     """Orphans dropped and one row per key kept; the policy is part of the key,
     so the order of the two changes no result.  Where no policy holds more than
     a partition's share of the payments, the orphan join comes first and its
-    exchange on the policy serves the de-duplication too.  Else the key is made
+    exchange on the policy serves the de-duplication too; what isn't key crosses
+    it as two longs where it fits them.  Else the key is made
     unique first: its exchange spreads a policy with many payments and combines
     a repeated one map-side.  Heavy policies are looked for in the payments as
     read, which shuffles nothing."""
@@ -108,9 +110,12 @@ def clean_payments(payments: DataFrame, policies: DataFrame, order: list[str] |
     heavy = heavy_keys(payments, "policy_id", partitions(payments))
     df = C.cast_flags(payments, ["is_missed", "is_in_grace_period"])
     df = df.withColumnRenamed("is_missed", "is_missed_premium")
-    if not heavy:
+    if heavy:
+        df = C.dedupe(df, PAYMENT_KEY, order=[c for c in order if c in df.columns])
+    else:
+        df, read = C.packed_rest(df, PAYMENT_KEY, [c for c in order if c in df.columns])
         df = C.drop_orphans(df, policies, "policy_id", heavy=heavy)
-    df = C.dedupe(df, PAYMENT_KEY, order=[c for c in order if c in df.columns])
+        df = read(C.dedupe(df, PAYMENT_KEY, order=[c for c in df.columns if c not in PAYMENT_KEY]))
     df = df.drop(*[c for c in PAYMENT_ORDER if c in df.columns])
     df = C.add_flags(df, {"is_invalid_amount": F.col("premium_amount") < 0})
     return C.drop_orphans(df, policies, "policy_id", heavy=heavy) if heavy else df

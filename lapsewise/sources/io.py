@@ -38,6 +38,8 @@ def write_layer(df: DataFrame, root: str, name: str, fmt: str = "parquet", parti
     it reads (Parquet cannot), so callers give every stage its own layer."""
     path = layer_path(root, name)
     writer = df.write.mode(mode).format(fmt)
+    if fmt == "parquet":  # layers are written once and read by column; Spark's default codec writes more bytes
+        writer = writer.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

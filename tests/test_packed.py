@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from lapsewise.operators import clean as C
 from lapsewise.operators import features as E
 from lapsewise.operators import packed
+from lapsewise.plans import cleaning
+from lapsewise.sources.io import write_layer
 
 from .conftest import SF001
 
@@ -79,3 +81,34 @@ def test_newest_rows_take_hash_aggregates(spark):
     for df in (cleaning.latest_policy_status(events), E.customer_event_summary(events)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHash" not in plan
+
+
+def test_packed_rest_is_two_longs_that_sort_as_the_columns(spark):
+    """Rows cross a shuffle as their keys and two longs, and come back as they were; the smallest of a key is the same row."""
+    rows = [(1, 7, 3, Decimal("1.50"), "O", None), (1, 7, None, Decimal("9.99"), None, True), (1, 7, 3, Decimal("-1.50"), "F", False),
+            (2, None, 5, None, "O", True), (None, 7, 5, Decimal("0.00"), "F", None), (1, 7, 3, Decimal("1.50"), "O", None)]
+    df = spark.createDataFrame(rows, "id long, policy long, tie int, amount decimal(18,2), status string, flag boolean") \
+        .select("id", "amount", "policy", "tie", "status", "flag")
+    small, read = C.packed_rest(df, ["id", "policy"], ["tie"])
+    assert small.dtypes == [("id", "bigint"), ("policy", "bigint"), ("__order", "bigint"), ("__rest", "bigint")]
+    assert read(small).dtypes == df.dtypes and sorted(map(repr, read(small).collect())) == sorted(map(repr, df.collect()))
+    picked = read(C.dedupe(small, ["id", "policy"], order=["__order", "__rest"]))
+    assert sorted(map(repr, picked.collect())) == sorted(map(repr, C.dedupe(df, ["id", "policy"], order=["tie"]).collect()))
+    floats = df.withColumn("amount", df["amount"].cast("double"))  # no long holds a double
+    same, read = C.packed_rest(floats, ["id", "policy"], ["tie"])
+    assert same.columns == ["id", "policy", "tie", "amount", "status", "flag"] and read(same).columns == floats.columns
+
+
+def test_payments_and_layers_take_fewer_bytes(spark, tmp_path):
+    """Payments are shuffled as keys and two longs; layers are written with zstd."""
+    rows = [(i * 10 + k, i, 20200101 + k, Decimal(i), "O", i % 2, 0, i * 3, i * 7, dt.date(2020, 1, 1 + k)) for i in range(1, 50) for k in range(3)]
+    pay = spark.createDataFrame(rows, "payment_id long, policy_id long, date_id int, premium_amount decimal(18,2), payment_status string, "
+                                      "is_missed int, is_in_grace_period int, l_partkey long, l_suppkey long, l_shipdate date")
+    policies = pay.select("policy_id").where("policy_id < 40").distinct()
+    out = cleaning.clean_payments(pay, policies)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "__order" in plan and "__rest" in plan
+    got = {(r.payment_id, r.premium_amount, r.payment_status, r.is_missed_premium) for r in out.collect()}
+    assert got == {(r[0], r[3], r[4], bool(r[5])) for r in rows if r[1] < 40}
+    write_layer(out, str(tmp_path), "pay")
+    assert list((tmp_path / "pay").glob("*.zstd.parquet"))
