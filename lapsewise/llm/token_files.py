@@ -31,8 +31,8 @@ from .tokens import token_ids
 
 #: Ids between two checkpoints; ids after which a block is closed; the longest code.
 STEP, BLOCK_IDS, MAX_BITS = 256, 1 << 19, 16
-#: Words whose ids a worker keeps in a generation: about 250 MB in both generations at most.
-WORDS = 600_000
+#: Words whose ids a worker keeps in a generation: about 250 MB in both generations at most.  Bytes of text encoded at once.
+WORDS, AT_ONCE = 600_000, 12 << 20
 
 BLOCKS = ("shard int, block int, first long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, "
           "checkpoints binary, payload binary")
@@ -162,7 +162,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
     document lies in one block.
     """
     spark = docs.sparkSession
-    tokens = materialise(token_ids(docs, vocabulary, end_id, id_col, text_col, dtype, WORDS), "ids")
+    tokens = materialise(token_ids(docs, vocabulary, end_id, id_col, text_col, dtype, WORDS, AT_ONCE), "ids")
     ids, bits = codebook(tokens, dtype, max_bits)
     spark.createDataFrame([(int(i), int(b)) for i, b in zip(ids, bits, strict=True)], "id long, bits int") \
         .coalesce(1).write.parquet(f"{path}/codebook")

@@ -24,8 +24,6 @@ from .common import batches, claim, prepare, utf8
 
 #: Parts that follow a space, and other pre-tokens, whose ids a worker keeps (two generations of this size at most).
 CACHE_WORDS, CACHE_PARTS = 250_000, 20_000
-#: Bytes of text that are encoded at once: more share more words, and take more memory.
-BATCH_BYTES = 12 << 20
 
 # Characters whose pre-token class is the same in every regex engine and Unicode version.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -191,10 +189,12 @@ def id_type(path: str) -> str:
 
 
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-              dtype: str = "<u4", words: int = CACHE_WORDS) -> DataFrame:
+              dtype: str = "<u4", words: int = CACHE_WORDS, at_once: int = 0) -> DataFrame:
     """``(doc_id, ids)``: each row's ids, the end id last, as little-endian bytes of ``dtype``.
 
     ``words`` bounds a generation of what a worker keeps, about 200 bytes each.
+    Arrow batches are put together until they hold ``at_once`` bytes: more share
+    more words, and take more memory.
     """
     prepare(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
@@ -207,7 +207,7 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_
             names += b.column(0).to_pylist()
             texts += b.column(1).to_pylist()
             held += b.nbytes
-            if held >= BATCH_BYTES:
+            if held >= at_once:
                 yield batches({"doc_id": names, "ids": encoder.encode_all(texts, end)}, schema)
                 names, texts, held = [], [], 0
         if names:
